@@ -1,0 +1,38 @@
+"""Which keys are too large for one task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
+
+MIN_ROWS = 1_000_000
+MAX_KEYS = 10_000
+
+
+def hot_keys(
+    frames: Sequence[DataFrame],
+    keys: Sequence[str],
+    min_rows: int = MIN_ROWS,
+    max_keys: int = MAX_KEYS,
+) -> list[tuple]:
+    """The keys with more than `min_rows` rows over all frames together, largest first, `max_keys` at most.
+
+    One job: it reads the key columns only and counts before it shuffles, so a hot key is no load for it.
+    What reaches the driver is at most `max_keys` keys. A key left out of a full list is no larger than the
+    smallest one on it, hence holds at most 1/max_keys of all rows.
+    """
+    counted = reduce(
+        DataFrame.unionByName, [f.select(*keys).dropna(subset=list(keys)) for f in frames]
+    )
+    rows = (
+        counted.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > min_rows)
+        .orderBy(F.desc("_rows"), *keys)
+        .limit(max_keys)
+        .select(*keys)
+        .collect()
+    )
+    return [tuple(r) for r in rows]
