@@ -189,6 +189,12 @@ def _loaded_metrics(spark, sf):
     return load_metrics(spark, base, "revenue_kpis/by_region")
 
 
+def _sku_rank(spark, sf):
+    path = _work(spark, sf, "sku_revenue")
+    write_table(metrics.revenue(_facts(spark, sf), "region", "sku"), path)
+    return insights.sku_rank_in_region(read_table(spark, path))
+
+
 def _on_facts(build: Callable[[DataFrame], DataFrame], **chosen) -> Query:
     return lambda spark, sf: build(_facts(spark, sf, **chosen))
 
@@ -278,7 +284,7 @@ def queries() -> dict[str, Query]:
             _lines(spark, sf), _shipments(spark, sf)
         ),
         "carrier_performance": lambda spark, sf: insights.carrier_performance(_shipments(spark, sf)),
-        "sku_rank_in_region": _on_facts(insights.sku_rank_in_region),
+        "sku_rank_in_region": _sku_rank,
         "revenue_trend": lambda spark, sf: insights.revenue_trend(_lines(spark, sf)),
     }
 

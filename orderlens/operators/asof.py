@@ -57,15 +57,13 @@ def asof_join(
         named = F.broadcast(
             left.sparkSession.createDataFrame(list(hot), left.select(*keys).schema)
         )
+        hot_lines, lines = _split(lines, named, keys)
+        hot_snaps, snaps = _split(snaps, named, keys)
         parts.append(
             _by_moment(
-                lines.join(named, keys, "left_semi"),
-                snaps.join(named, keys, "left_semi"),
-                keys, left_ts, right_ts, payload, ties, how, cell_seconds,
+                hot_lines, hot_snaps, keys, left_ts, right_ts, payload, ties, how, cell_seconds
             )
         )
-        lines = lines.join(named, keys, "left_anti")
-        snaps = snaps.join(named, keys, "left_anti")
     parts.append(_carry_forward(lines, snaps, keys, left_ts, right_ts, payload, ties, how))
     if how == "left":
         types = {f.name: f.dataType for f in right.schema.fields}
@@ -74,6 +72,12 @@ def asof_join(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _split(df: DataFrame, named: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with a named key, and the others; columns stay in their order."""
+    inside, outside = (df.join(named, keys, how).select(*df.columns) for how in ("left_semi", "left_anti"))
+    return inside, outside
+
+
 def _carry_forward(left, right, keys, left_ts, right_ts, payload, ties, how) -> DataFrame:
     """Sort both sides together by key and time and carry the last right row forward.
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from orderlens.functions import hours_between, is_delivered, order_value, ratio
 from orderlens.operators.shipments import attach_shipments
 
-LATENCY = "latency_hours"
+BANDS = 100_000
 
 
 def delivery_latency(lines: DataFrame, shipments: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def delivery_latency(lines: DataFrame, shipments: DataFrame) -> DataFrame:
         "promised_delivery_ts",
         "ship_ts",
         "delivered_ts",
-        hours_between("ship_ts", "delivered_ts").alias(LATENCY),
+        hours_between("ship_ts", "delivered_ts").alias("latency_hours"),
         (F.col("delivered_ts") > F.col("promised_delivery_ts")).alias("late"),
     )
 
@@ -45,20 +45,18 @@ def carrier_performance(shipments: DataFrame) -> DataFrame:
     )
 
 
-def sku_rank_in_region(facts: DataFrame) -> DataFrame:
+def sku_rank_in_region(totals: DataFrame) -> DataFrame:
     """Revenue rank of every SKU within its region, the highest first, equal revenue on equal rank.
 
-    Ranking a region in one window would bring its whole catalogue into one task. Instead SKUs are counted
-    per distinct revenue, those counts are summed per revenue band (a thousandth wide on a log scale, some
-    44,000 bands at most), and a rank is the count above the band plus the count above within it.
+    `totals` has one row per region and SKU (`revenue(facts, "region", "sku")`) and is read three times, so
+    give a written table. Ranking a region in one window would bring its whole catalogue into one task.
+    Instead SKUs are counted per distinct revenue, those counts are summed per revenue band, and a rank is the
+    count above the band plus the count above within it. Bands are 1/BANDS wide on a log scale: a region has
+    4.4 million at most, and a band no more distinct values than 1/BANDS of the revenue it stands for.
     """
-    revenue = (
-        facts.where("order_value IS NOT NULL")
-        .groupBy("region", "sku")
-        .agg(F.sum("order_value").alias("total_revenue"))
-    )
+    revenue = totals.where("total_revenue IS NOT NULL").select("region", "sku", "total_revenue")
     value = F.col("total_revenue")
-    band = (F.signum(value) * F.floor(F.log1p(F.abs(value).cast("double")) * 1000)).cast("bigint")
+    band = (F.signum(value) * F.floor(F.log1p(F.abs(value).cast("double")) * BANDS)).cast("bigint")
     levels = (
         revenue.groupBy("region", "total_revenue")
         .agg(F.count(F.lit(1)).alias("_skus"))

@@ -6,11 +6,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderlens.sources import spread
 
+# Declared, so that opening a table runs no job; only the columns the views use.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
 LINE_ORDER = ("line_no", "qty", "unit_price", "discount")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _labelled(prefix: str, column) -> Column:
@@ -28,19 +42,16 @@ def _sku() -> Column:
     return _labelled("SKU", F.nullif(F.col("l_partkey"), F.lit(0))).alias("sku")
 
 
-def _items(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(*columns)
-
-
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two thirds of the line items, copies included."""
-    items = _items(
-        spark, sf_dir,
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag",
+    items = (
+        table(spark, sf_dir, "lineitem")
+        .where("l_returnflag <> 'R'")
+        .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
     )
-    items = spread(items.where("l_returnflag <> 'R'").drop("l_returnflag"), "l_orderkey")
+    items = spread(items, "l_orderkey")
     orders = table(spark, sf_dir, "orders")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    part = table(spark, sf_dir, "part")
     customer = table(spark, sf_dir, "customer").join(
         _region_names(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -67,9 +78,7 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The remaining third as stock snapshots, under the raw column names."""
-    items = _items(
-        spark, sf_dir, "l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_returnflag"
-    ).where("l_returnflag = 'R'")
+    items = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     supplier = table(spark, sf_dir, "supplier").join(
         _region_names(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")
     )
@@ -84,7 +93,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """None, one or two shipments per order, under the raw column names."""
-    items = _items(spark, sf_dir, "l_orderkey", "l_linestatus", "l_shipdate")
+    items = table(spark, sf_dir, "lineitem")
     key, done = F.col("l_orderkey"), F.col("l_linestatus") == "F"
     return (
         items.where(key % 10 != 0)

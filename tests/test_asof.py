@@ -1,0 +1,168 @@
+"""The point-in-time join on hand-made and random rows, through both of its plans."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from orderlens.operators import asof_join, hot_keys
+
+LEFT = "line string, sku string, region string, order_ts timestamp_ntz"
+RIGHT = "sku string, snapshot_ts timestamp_ntz, warehouse_id string, on_hand_qty bigint"
+DAY = datetime(2024, 1, 10)
+PLANS = ["window", "split"]
+
+
+def at(hour: float) -> datetime:
+    return DAY + timedelta(hours=hour)
+
+
+def join(spark, lines, snaps, plan, how="inner", cell_seconds=3600):
+    left = spark.createDataFrame(lines, LEFT)
+    right = spark.createDataFrame(snaps, RIGHT)
+    skus = {row[1] for row in lines} | {row[0] for row in snaps}
+    hot = [(s,) for s in sorted(skus - {None})] if plan == "split" else []
+    matched = asof_join(
+        left, right, ["sku"], "order_ts", "snapshot_ts", ["warehouse_id", "on_hand_qty"],
+        how=how, hot=hot, cell_seconds=cell_seconds,
+    )
+    return {
+        r["line"]: (r["snapshot_ts"], r["warehouse_id"], r["on_hand_qty"]) for r in matched.collect()
+    }
+
+
+def brute_force(lines, snaps, how):
+    """The definition, one line at a time."""
+    def rank(s):
+        return (s[2] is None, s[2] or "", s[3] is None, s[3] or 0)
+
+    out = {}
+    for line, sku, _, ts in lines:
+        earlier = [
+            s for s in snaps if sku and ts and s[0] == sku and s[1] is not None and s[1] <= ts
+        ]
+        if earlier:
+            newest = max(s[1] for s in earlier)
+            out[line] = min((s for s in earlier if s[1] == newest), key=rank)[1:]
+        elif how == "left":
+            out[line] = (None, None, None)
+    return out
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_later_snapshot_of_the_same_day_is_not_seen(spark, plan):
+    found = join(
+        spark,
+        [("l", "A", "x", at(9))],
+        [("A", at(8), "W1", 20), ("A", at(10), "W1", 1)],
+        plan,
+    )
+    assert found == {"l": (at(8), "W1", 20)}
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_equal_time_matches(spark, plan):
+    found = join(spark, [("l", "A", "x", at(9))], [("A", at(9), "W1", 7)], plan)
+    assert found == {"l": (at(9), "W1", 7)}
+
+
+@pytest.mark.parametrize("plan", PLANS)
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_unmatched_lines(spark, plan, how):
+    lines = [
+        ("late", "A", "x", at(1)),
+        ("unknown", "B", "x", at(9)),
+        ("no key", None, "x", at(9)),
+        ("no time", "A", "x", None),
+    ]
+    snaps = [("A", at(5), "W1", 3), (None, at(0), "W1", 4), ("A", None, "W1", 5)]
+    found = join(spark, lines, snaps, plan, how)
+    nothing = (None, None, None)
+    assert found == ({} if how == "inner" else {line[0]: nothing for line in lines})
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_ties_take_the_smaller_warehouse_and_nulls_last(spark, plan):
+    snaps = [
+        ("A", at(1), "W2", 5),
+        ("A", at(1), None, 0),
+        ("A", at(1), "W1", None),
+        ("A", at(1), "W1", 9),
+    ]
+    assert join(spark, [("l", "A", "x", at(2))], snaps, plan) == {"l": (at(1), "W1", 9)}
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_null_payload_is_a_value(spark, plan):
+    """The newest snapshot wins even if its quantity is unknown."""
+    snaps = [("A", at(1), "W1", 5), ("A", at(2), "W1", None)]
+    found = join(spark, [("l", "A", "x", at(3)), ("m", "A", "x", at(40))], snaps, plan)
+    assert found == {"l": (at(2), "W1", None), "m": (at(2), "W1", None)}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_both_plans_equal_the_definition(spark, how, zone):
+    """Random rows over a clock change, many ties and nulls; cells from minutes to weeks."""
+    rng = random.Random(7)
+    start = datetime(2024, 3, 9)
+
+    def some_time():
+        if rng.random() < 0.05:
+            return None
+        return start + timedelta(minutes=rng.randrange(0, 3 * 24 * 60, 20), microseconds=rng.choice([0, 0, 5]))
+
+    skus = ["hot"] * 6 + ["A", "B", "C", None]
+    lines = [(f"l{i}", rng.choice(skus), "x", some_time()) for i in range(400)]
+    snaps = [
+        (rng.choice(skus), some_time(), rng.choice(["W1", "W2", None]), rng.choice([None, 1, 2, 3]))
+        for _ in range(150)
+    ]
+    wanted = brute_force(lines, snaps, how)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert join(spark, lines, snaps, "window", how) == wanted
+        for cell in (60, 3600, 7 * 86400):
+            assert join(spark, lines, snaps, "split", how, cell) == wanted
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_some_keys_split_and_found_by_counting(spark):
+    rng = random.Random(3)
+    lines = [(f"l{i}", "hot" if i % 3 == 0 else f"S{i % 40}", "x", at(rng.randrange(200))) for i in range(600)]
+    snaps = [("hot" if i % 3 == 0 else f"S{i % 40}", at(rng.randrange(200)), "W1", i) for i in range(300)]
+    left, right = spark.createDataFrame(lines, LEFT), spark.createDataFrame(snaps, RIGHT)
+    hot = hot_keys([left, right], ["sku"], min_rows=100)
+    assert hot == [("hot",)]
+    assert hot_keys([left, right], ["sku"], min_rows=0, max_keys=3)[0] == ("hot",)
+    assert len(hot_keys([left, right], ["sku"], min_rows=0, max_keys=3)) == 3
+    args = (left, right, ["sku"], "order_ts", "snapshot_ts", ["warehouse_id", "on_hand_qty"], "left")
+    split = {tuple(r) for r in asof_join(*args, hot=hot).collect()}
+    plain = {tuple(r) for r in asof_join(*args, hot=[]).collect()}
+    assert split == plain and len(plain) == 600
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_several_keys_and_zoned_times(spark, plan):
+    left = spark.createDataFrame(
+        [("l", "A", "east", at(5)), ("m", "A", "west", at(5))], LEFT
+    ).withColumn("order_ts", __import__("pyspark").sql.functions.col("order_ts").cast("timestamp"))
+    right = spark.createDataFrame([("A", at(1), "W1", 1), ("A", at(2), "W2", 2)], RIGHT).selectExpr(
+        "sku", "CAST(snapshot_ts AS timestamp) AS snapshot_ts",
+        "if(warehouse_id = 'W1', 'east', 'west') AS region", "on_hand_qty",
+    )
+    hot = [("A", "east"), ("A", "west")] if plan == "split" else []
+    rows = asof_join(left, right, ["sku", "region"], "order_ts", "snapshot_ts", hot=hot).collect()
+    assert {r["line"]: r["on_hand_qty"] for r in rows} == {"l": 1, "m": 2}
+
+
+def test_bad_arguments(spark):
+    left, right = spark.createDataFrame([], LEFT), spark.createDataFrame([], RIGHT)
+    with pytest.raises(ValueError, match="join type"):
+        asof_join(left, right, ["sku"], "order_ts", "snapshot_ts", how="full")
+    with pytest.raises(ValueError, match="both sides"):
+        asof_join(left, right.withColumnRenamed("warehouse_id", "line"), ["sku"], "order_ts", "snapshot_ts")
