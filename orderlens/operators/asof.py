@@ -12,7 +12,9 @@ from orderlens.functions import epoch_seconds
 from orderlens.operators.quality import present
 from orderlens.operators.skew import hot_keys
 
-CELL_SECONDS = 3600
+# A cell then holds at most 60 million distinct microseconds, and a key half a million cells a year.
+CELL_SECONDS = 60
+APART = 1 << 20
 
 
 def asof_join(
@@ -45,8 +47,7 @@ def asof_join(
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     ties = [*tie_break, *[c for c in payload if c not in (right_ts, *tie_break)]]
 
-    usable = present(*keys, left_ts)
-    lines = left.where(usable)
+    lines = left if how == "left" else left.where(present(*keys, left_ts))
     snaps = right.where(present(*keys, right_ts))
     if hot is None:
         hot = hot_keys([lines, snaps], keys)
@@ -65,10 +66,6 @@ def asof_join(
             )
         )
     parts.append(_carry_forward(lines, snaps, keys, left_ts, right_ts, payload, ties, how))
-    if how == "left":
-        types = {f.name: f.dataType for f in right.schema.fields}
-        blanks = [F.lit(None).cast(types[c]).alias(c) for c in payload]
-        parts.append(left.where(~usable).select(*left.columns, *blanks))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -82,21 +79,29 @@ def _carry_forward(left, right, keys, left_ts, right_ts, payload, ties, how) ->
     """Sort both sides together by key and time and carry the last right row forward.
 
     The right row travels as one struct, so that a null inside it is carried and not skipped. At equal times
-    right rows come first (a match at the same time counts), the tie winner last among them.
+    right rows come first (a match at the same time counts), the tie winner last among them. Left rows that
+    can match nothing are kept apart, spread by their content, so that null keys are not one big group.
     """
+    apart = F.when(present(*keys, left_ts), 0).otherwise(
+        1 + F.pmod(F.xxhash64(*left.columns), F.lit(APART))
+    )
     events = left.select(
-        "*", F.col(left_ts).alias("_ts"), F.lit(1).alias("_kind")
+        "*",
+        F.col(left_ts).alias("_ts"),
+        F.lit(1).alias("_kind"),
+        (apart if how == "left" else F.lit(0)).cast("int").alias("_apart"),
     ).unionByName(
         right.select(
             *keys,
             F.col(right_ts).alias("_ts"),
             F.lit(0).alias("_kind"),
+            F.lit(0).alias("_apart"),
             F.struct(*payload).alias("_snap"),
         ),
         allowMissingColumns=True,
     )
     so_far = (
-        Window.partitionBy(*keys)
+        Window.partitionBy(*keys, "_apart")
         .orderBy("_ts", "_kind", *[F.col(f"_snap.{c}").desc_nulls_first() for c in ties])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -127,7 +132,7 @@ def _by_moment(
         .agg(F.min(F.struct(F.lit(0).alias("_one"), *by_rank)).alias("_best"))
         .select(*keys, "_ts", F.struct(*[best[c].alias(c) for c in payload]).alias("_snap"))
     )
-    moments = left.select(*keys, F.col(left_ts).alias("_ts")).distinct()
+    moments = left.select(*keys, F.col(left_ts).alias("_ts")).where("_ts IS NOT NULL").distinct()
     events = moments.withColumn("_kind", F.lit(1)).unionByName(
         snaps.withColumn("_kind", F.lit(0)), allowMissingColumns=True
     )

@@ -71,6 +71,8 @@ def landing_schema(schema: StructType) -> StructType:
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of `schema`; text that does not parse becomes null."""
     have = {f.name: f.dataType for f in df.schema.fields}
+    if list(have.items()) == [(f.name, f.dataType) for f in schema.fields]:
+        return df
     return df.select(
         *[
             F.col(f.name)

@@ -6,6 +6,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.operators import asof_join, hot_keys
 
@@ -150,7 +151,7 @@ def test_some_keys_split_and_found_by_counting(spark):
 def test_several_keys_and_zoned_times(spark, plan):
     left = spark.createDataFrame(
         [("l", "A", "east", at(5)), ("m", "A", "west", at(5))], LEFT
-    ).withColumn("order_ts", __import__("pyspark").sql.functions.col("order_ts").cast("timestamp"))
+    ).withColumn("order_ts", F.col("order_ts").cast("timestamp"))
     right = spark.createDataFrame([("A", at(1), "W1", 1), ("A", at(2), "W2", 2)], RIGHT).selectExpr(
         "sku", "CAST(snapshot_ts AS timestamp) AS snapshot_ts",
         "if(warehouse_id = 'W1', 'east', 'west') AS region", "on_hand_qty",
@@ -160,6 +161,46 @@ def test_several_keys_and_zoned_times(spark, plan):
     assert {r["line"]: r["on_hand_qty"] for r in rows} == {"l": 1, "m": 2}
 
 
+def test_a_burst_at_one_time_is_split(spark):
+    """Half of all rows share one key and one time; AQE cuts that partition of the final join."""
+    limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in limits}
+    burst = F.col("id") % 2 == 0
+    left = spark.range(0, 200_000, 1, 8).select(
+        F.col("id"),
+        F.lit("hot").alias("sku"),
+        (F.lit(DAY) + F.make_dt_interval(secs=F.when(burst, 0).otherwise(F.col("id")))).alias("order_ts"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    )
+    right = spark.createDataFrame([("hot", at(-1), "W1", 1), ("hot", at(5), "W1", 2)], RIGHT)
+    try:
+        for name, value in limits.items():
+            spark.conf.set(name, value)
+        joined = asof_join(left, right, ["sku"], "order_ts", "snapshot_ts", hot=[("hot",)])
+        counts = joined.groupBy("on_hand_qty").agg(F.count(F.lit(1)), F.max("pad"))
+        assert {r[0]: r[1] for r in counts.collect()} == {1: 100_000 + 9_000, 2: 91_000}
+        assert "SortMergeJoin(skew=true)" in counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_keyless_lines_do_not_meet_in_one_group(spark):
+    left = spark.range(0, 10_000, 1, 4).select(
+        F.col("id"), F.lit(None).cast("string").alias("sku"), F.lit(DAY).alias("order_ts")
+    )
+    right = spark.createDataFrame([("A", at(-1), "W1", 1)], RIGHT)
+    joined = asof_join(left, right, ["sku"], "order_ts", "snapshot_ts", how="left", hot=[])
+    sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in sizes) == 10_000
+    assert max(r["count"] for r in sizes) < 5_000
+
+
 def test_bad_arguments(spark):
     left, right = spark.createDataFrame([], LEFT), spark.createDataFrame([], RIGHT)
     with pytest.raises(ValueError, match="join type"):
