@@ -279,7 +279,7 @@ def queries() -> dict[str, Query]:
         "pipeline_revenue_by_region": _pipeline("revenue_kpis/by_region"),
         "pipeline_risk_by_sku": _pipeline("revenue_at_risk/by_sku"),
         "pipeline_supply_chain": _pipeline("supply_chain_metrics/summary"),
-        # reports the reference describes
+        # delivery and revenue reports
         "delivery_latency": lambda spark, sf: insights.delivery_latency(
             _lines(spark, sf), _shipments(spark, sf)
         ),

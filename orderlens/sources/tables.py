@@ -42,10 +42,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+# Folders made for applications whose cluster names none.
+_own_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it. Unset (tests): a new local folder, then kept."""
+    """The folder all executors see, as the cluster names it. Unset (tests): one new local folder per application."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = tempfile.mkdtemp(prefix="orderlens-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        named = _own_folders.get(app) or _own_folders.setdefault(app, tempfile.mkdtemp(prefix="orderlens-"))
     return named.rstrip("/")

@@ -206,3 +206,13 @@ def test_pipeline_from_landing_to_gold(spark, tmp_path):
     rejected = read_table(spark, f"{paths.silver}/conformed/orders_rejected").collect()
     assert len(rejected) == 1 and rejected[0]._source_file.endswith("c.json")
     assert read_table(spark, written["order_lines"]).agg(F.count("promised_delivery_ts")).collect()[0][0] == 2
+
+
+def test_own_folder_where_none_is_named():
+    from types import SimpleNamespace
+
+    bare = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(applicationId="none-named"),
+    )
+    assert shared_dir(bare) == shared_dir(bare) != ""
