@@ -50,25 +50,38 @@ CELL_SECONDS = 30 * 86400
 _hot_keys: dict[tuple, list[tuple]] = {}
 
 
+# The order model, defined once per session and folder like any view; no data is kept.
+_views: dict[tuple, DataFrame] = {}
+
+
+def _view(spark: SparkSession, sf: str, define: Query) -> DataFrame:
+    known = (spark.sparkContext.applicationId, sf, define)
+    if known not in _views:
+        _views[known] = define(spark, sf)
+    return _views[known]
+
+
 def _hot(spark: SparkSession, sf: str, keys: tuple[str, ...]) -> list[tuple]:
     known = (spark.sparkContext.applicationId, sf, keys)
     if known not in _hot_keys:
-        _hot_keys[known] = fact_plan.hot_stock_keys(
-            views.raw_order_lines(spark, sf), _inventory(spark, sf), keys
-        )
+        _hot_keys[known] = fact_plan.hot_stock_keys(_raw_orders(spark, sf), _inventory(spark, sf), keys)
     return _hot_keys[known]
 
 
+def _raw_orders(spark, sf):
+    return _view(spark, sf, views.raw_order_lines)
+
+
 def _orders(spark, sf):
-    return schemas.conform_orders(views.raw_order_lines(spark, sf))
+    return schemas.conform_orders(_raw_orders(spark, sf))
 
 
 def _inventory(spark, sf):
-    return schemas.conform_inventory(views.raw_inventory(spark, sf))
+    return schemas.conform_inventory(_view(spark, sf, views.raw_inventory))
 
 
 def _shipments(spark, sf):
-    return schemas.conform_shipments(views.raw_shipments(spark, sf))
+    return schemas.conform_shipments(_view(spark, sf, views.raw_shipments))
 
 
 def _options(spark, sf, **chosen) -> fact_plan.Options:
@@ -83,14 +96,14 @@ def _options(spark, sf, **chosen) -> fact_plan.Options:
 
 def _lines(spark, sf):
     lines = fact_plan.order_lines(
-        views.raw_order_lines(spark, sf), fact_plan.Options(dedupe_order=views.LINE_ORDER)
+        _raw_orders(spark, sf), fact_plan.Options(dedupe_order=views.LINE_ORDER)
     )
     return schemas.conform_orders(lines)
 
 
 def _facts(spark, sf, **chosen):
     return fact_plan.build_order_facts(
-        views.raw_order_lines(spark, sf),
+        _raw_orders(spark, sf),
         _inventory(spark, sf),
         _shipments(spark, sf),
         _options(spark, sf, **chosen),
@@ -111,7 +124,7 @@ def _asof(spark, sf, **chosen):
 
 def _asof_split(spark, sf):
     """The same join, the 100 largest keys sent through the plan for oversized keys whatever their size."""
-    raw, stock = views.raw_order_lines(spark, sf), _inventory(spark, sf)
+    raw, stock = _raw_orders(spark, sf), _inventory(spark, sf)
     largest = fact_plan.hot_stock_keys(raw, stock, ("sku",), min_rows=0, max_keys=100)
     matched = fact_plan.match_inventory(
         _lines(spark, sf), stock, fact_plan.Options(hot=largest, cell_seconds=CELL_SECONDS)

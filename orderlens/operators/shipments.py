@@ -43,11 +43,16 @@ def attach_shipments(lines: DataFrame, shipments: DataFrame, policy: str = "late
     """Left join of order lines to shipments.
 
     "latest" keeps one row per line; "all" repeats a line for each shipment of its order. No strategy is
-    forced: Spark broadcasts a side it measures as small, and otherwise AQE splits an oversized order.
+    forced: Spark broadcasts a side it measures as small, and otherwise AQE splits an oversized order. In an
+    outer join it can split the preserved side only, which serves "latest", whose right side has one row per
+    order. With "all" an order may be oversized in shipments too, so matched lines come from an inner join,
+    where either side can be split, and the others from an anti join on distinct ids.
     """
     if policy not in ("latest", "all"):
         raise ValueError(f"unknown shipment policy: {policy}")
     right = shipments.select("order_id", "carrier", "ship_ts", "delivered_ts", "delivery_status")
     if policy == "latest":
-        right = latest_shipments(right)
-    return lines.join(right, "order_id", "left")
+        return lines.join(latest_shipments(right), "order_id", "left")
+    return lines.join(right, "order_id").unionByName(
+        lines.join(order_ids(right), "order_id", "left_anti"), allowMissingColumns=True
+    )

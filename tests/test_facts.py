@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from orderlens import schemas
-from orderlens.operators import dedupe, latest_shipments
+from orderlens.operators import attach_shipments, dedupe, latest_shipments
 from orderlens.plans.facts import Options, build_order_facts, hot_stock_keys, stock_by
 from orderlens.sources import spread
 
@@ -97,6 +97,35 @@ def test_copies_leave_the_map_tasks_as_one_row(spark):
     assert text.count("WindowGroupLimit") == 2
 
 
+def test_an_order_with_most_shipments_is_split(spark):
+    """Half of all shipments belong to one order; AQE cuts them up in the join that keeps every shipment."""
+    limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in limits}
+    shipments = spark.range(0, 100_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, "O0").otherwise(F.concat(F.lit("O"), "id")).alias("order_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("carrier"),
+        F.lit(T0).alias("ship_ts"), F.lit(T0).alias("delivered_ts"), F.lit("DELIVERED").alias("delivery_status"),
+    )
+    lines = spark.range(0, 10, 1, 2).select(F.concat(F.lit("O"), "id").alias("order_id"), F.col("id").alias("line"))
+    try:
+        for name, value in limits.items():
+            spark.conf.set(name, value)
+        joined = attach_shipments(lines, shipments, "all").groupBy("line").agg(
+            F.count("carrier").alias("n"), F.max("carrier")
+        )
+        counts = {r.line: r.n for r in joined.collect()}
+        assert counts == {0: 50_000} | {i: i % 2 for i in range(1, 10)}
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def _digest(df):
     row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).collect()[0]
     return tuple(row)
