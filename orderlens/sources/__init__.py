@@ -1,5 +1,5 @@
 from orderlens.sources.jdbc import jdbc_options, read_jdbc_snapshot
-from orderlens.sources.landing import bad_records, good_records, read_landing_json
+from orderlens.sources.landing import bad_records, good_records, landed_schema, read_landing_json
 from orderlens.sources.sinks import land_batch, write_metrics, write_table
 from orderlens.sources.tables import load_metrics, read_table, shared_dir, spread
 
@@ -8,6 +8,7 @@ __all__ = [
     "good_records",
     "jdbc_options",
     "land_batch",
+    "landed_schema",
     "load_metrics",
     "read_jdbc_snapshot",
     "read_landing_json",

@@ -2,39 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
-from orderlens.schemas import landing_schema
-from orderlens.sources.landing import CORRUPT, good_records
+from orderlens.sources.landing import read_landing_json
 
 
 def convert_new_batches(
     spark: SparkSession,
     path: str,
     schema: StructType,
-    conform: Callable[[DataFrame], DataFrame],
     table: str,
     checkpoint: str,
     multi_line: bool = True,
 ) -> StreamingQuery:
-    """Appends every landed file not yet seen to a Parquet table, exactly once, then stops.
+    """Appends every landed file not yet seen to a Parquet table of landed records, exactly once, then stops.
 
-    The checkpoint folder remembers the files done; it must outlive the run, like the table. Deduplication is
-    left to the fact job, where all copies of an order line meet, so the stream keeps no state.
+    Unreadable records are kept in the table and told apart on reading (`good_records`, `bad_records`). The
+    checkpoint folder remembers the files done; it must outlive the run, like the table. Copies are removed by
+    the fact job, where all copies of an order line meet, so the stream keeps no state.
     """
-    landed = (
-        spark.readStream.schema(landing_schema(schema).add(CORRUPT, StringType()))
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json")
-        .json(path)
-    )
     return (
-        conform(good_records(landed))
+        read_landing_json(spark, path, schema, multi_line, stream=True)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)

@@ -145,3 +145,16 @@ def test_latency_and_carriers(spark):
     assert found == {"O1": (30.5, True), "O2": (1.0, False), "O3": (None, None)}
     carriers = {r.carrier: tuple(r)[1:] for r in insights.carrier_performance(shipments).collect()}
     assert carriers == {"UPS": (2, 2, 1.0, 15.75), "USPS": (1, 0, 0.0, None)}
+
+
+def test_scans_read_only_what_they_need(spark, sf, tmp_path):
+    """Filters and columns of a metric reach the Parquet scan, and nothing runs in Python."""
+    entry._facts(spark, sf).write.parquet(str(tmp_path / "facts"))
+    table = spark.read.parquet(str(tmp_path / "facts"))
+    plan = metrics.revenue(table, "region")._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    for pushed in ("IsNotNull(order_id)", "IsNotNull(sku)", "IsNotNull(order_value)"):
+        assert pushed in scan
+    assert "customer_id" not in scan and "ship_ts" not in scan
+    assert "Python" not in plan
+    assert plan.count("Exchange") == 1
