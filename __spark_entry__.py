@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlens import schemas, testviews as views
 from orderlens.operators import (
-    asof_join,
     latest_by,
     normalise_status,
     order_ids,

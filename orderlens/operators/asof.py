@@ -10,7 +10,7 @@ from pyspark.sql.types import TimestampType
 
 from orderlens.functions import epoch_seconds
 from orderlens.operators.quality import present
-from orderlens.operators.skew import hot_keys
+from orderlens.operators.skew import MAX_KEYS, hot_keys
 
 # A cell then holds at most 60 million distinct microseconds, and a key half a million cells a year.
 CELL_SECONDS = 60
@@ -54,10 +54,9 @@ def asof_join(
 
     parts = []
     if hot:
-        # At most skew.MAX_KEYS rows when looked up, so small enough to send to every task.
-        named = F.broadcast(
-            left.sparkSession.createDataFrame(list(hot), left.select(*keys).schema)
-        )
+        named = left.sparkSession.createDataFrame(list(hot), left.select(*keys).schema)
+        if len(hot) <= MAX_KEYS:
+            named = F.broadcast(named)
         hot_lines, lines = _split(lines, named, keys)
         hot_snaps, snaps = _split(snaps, named, keys)
         parts.append(
