@@ -6,6 +6,7 @@ and all, so it shares no plan with the engine.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -216,7 +217,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["revenue_by_region"](spark, "/root/testdata/sf0.001")
 
 
+def _training_data(part: str) -> dict:
+    """What the subpackage for training data registers; nothing where it is not installed."""
+    name = "orderlens.llm.queries"
+    try:
+        module = importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("orderlens.llm", name):
+            raise
+        return {}
+    return dict(getattr(module, part))
+
+
 def queries() -> dict[str, Query]:
+    return core_queries() | _training_data("QUERIES")
+
+
+def oracle_sql() -> dict[str, str]:
+    return core_oracle_sql() | _training_data("ORACLE_SQL")
+
+
+def core_queries() -> dict[str, Query]:
     every_shipment = {"shipments": "all"}
     return {
         # scans, landing and sinks
@@ -380,7 +401,7 @@ def _with(body: str, **steps: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({sql}\n)" for n, sql in named.items()) + "\n" + body
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     def over_facts(body: str, shipments: str = "latest_shipments", join: str = "JOIN", **steps) -> str:
         steps.setdefault("matched", _matched_sql(join=join))
         return _with(body, **steps, facts=_facts_sql(shipments))

@@ -14,10 +14,10 @@ def con(sf):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.core_queries()) == set(entry.core_oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.core_queries()))
 def test_query_equals_sql(spark, sf, con, name):
     assert compare(spark, con, sf, name) == ""
 
