@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, quality, secrets, url_filter
+from . import chat, mixing, packing, quality, secrets, url_filter, warc
+from .common import scratch
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,6 +16,16 @@ def _secret_scan(spark, sf_dir):
     return secrets.digest(secrets.find_secrets(_read(spark, sf_dir, "documents"), ["doc_id"]))
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def _pack_sequences(spark, sf_dir):
+    return packing.packed_documents(_read(spark, sf_dir, "documents"), _tokenizer())
+
+
 def _url_filter(spark, sf_dir):
     return url_filter.filter_urls(_read(spark, sf_dir, "pages"), ["page_id"])
 
@@ -25,6 +36,11 @@ def _quality_rules(spark, sf_dir):
     return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+def _warc_normalise(spark, sf_dir):
+    pages = _read(spark, sf_dir, "pages")
+    return warc.round_trip(pages, scratch(pages, "warc"))
+
+
 def _chat_format(spark, sf_dir):
     turns = chat.with_control_case(spark, _read(spark, sf_dir, "conversations"))
     return chat.read_back(chat.examples(turns))
@@ -37,8 +53,10 @@ def _mix_sources(spark, sf_dir):
 
 QUERIES = {
     "op1_secret_scan": _secret_scan,
+    "op2_pack_sequences": _pack_sequences,
     "op3_url_filter": _url_filter,
     "op4_quality_rules": _quality_rules,
+    "op7_warc_normalise": _warc_normalise,
     "op8_chat_format": _chat_format,
     "op10_mix_sources": _mix_sources,
 }
@@ -46,6 +64,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_url_filter": url_filter.oracle_sql(),
     "op4_quality_rules": quality.oracle_sql(),
+    "op7_warc_normalise": warc.oracle_sql(),
     "op8_chat_format": chat.oracle_sql(),
     "op10_mix_sources": mixing.oracle_sql(),
 }
