@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, packing, quality, secrets, url_filter, warc
+from . import ann, chat, mixing, packing, quality, secrets, url_filter, warc
 from .common import scratch
 
 
@@ -46,6 +46,10 @@ def _chat_format(spark, sf_dir):
     return chat.read_back(chat.examples(turns))
 
 
+def _nearest_vectors(spark, sf_dir):
+    return ann.search(_read(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", 10)
+
+
 def _mix_sources(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(mixing.prepared(docs).drop("text")).select("doc_id", "size", "source_size", "target", "taken")
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_quality_rules": _quality_rules,
     "op7_warc_normalise": _warc_normalise,
     "op8_chat_format": _chat_format,
+    "op9_nearest_vectors": _nearest_vectors,
     "op10_mix_sources": _mix_sources,
 }
 
