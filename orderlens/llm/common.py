@@ -12,6 +12,8 @@ from orderlens.sources import shared_dir
 # The characters that separate words.
 SPACES = "\\x20\\x09-\\x0D"
 WORD = f"[^{SPACES}]+"
+# Spark's setting that removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch(df: DataFrame, name: str) -> str:
@@ -24,10 +26,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The table, written once in the shared folder and read back.
 
     It cuts the lineage: a lost executor costs no more than the step that was running, and steps that are not
-    the same when run again (row order, partition numbers) are run once.
+    the same when run again (row order, partition numbers) are run once. The shuffles behind it are not needed any
+    more and go when it stands.
     """
-    path = scratch(df, name)
-    df.write.parquet(path)
+    path, conf = scratch(df, name), df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, mixing, packing, quality, secrets, url_filter, warc
+from . import ann, chat, mixing, ngram_join, ngram_lm, packing, quality, secrets, url_filter, warc
 from .common import scratch
 
 
@@ -36,6 +36,14 @@ def _quality_rules(spark, sf_dir):
     return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+def _score_language(spark, sf_dir):
+    return ngram_lm.score(_read(spark, sf_dir, "documents"))
+
+
+def _near_duplicates(spark, sf_dir):
+    return ngram_join.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def _warc_normalise(spark, sf_dir):
     pages = _read(spark, sf_dir, "pages")
     return warc.round_trip(pages, scratch(pages, "warc"))
@@ -60,6 +68,8 @@ QUERIES = {
     "op2_pack_sequences": _pack_sequences,
     "op3_url_filter": _url_filter,
     "op4_quality_rules": _quality_rules,
+    "op5_score_language": _score_language,
+    "op6_ngram_jaccard": _near_duplicates,
     "op7_warc_normalise": _warc_normalise,
     "op8_chat_format": _chat_format,
     "op9_nearest_vectors": _nearest_vectors,
