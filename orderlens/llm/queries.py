@@ -63,6 +63,12 @@ def _mix_sources(spark, sf_dir):
     return mixing.mix(mixing.prepared(docs).drop("text")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_secret_scan": _secret_scan,
     "op2_pack_sequences": _pack_sequences,
@@ -74,6 +80,7 @@ QUERIES = {
     "op8_chat_format": _chat_format,
     "op9_nearest_vectors": _nearest_vectors,
     "op10_mix_sources": _mix_sources,
+    "pipeline": _pipeline,
 }
 
 ORACLE_SQL = {
