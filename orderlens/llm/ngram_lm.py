@@ -167,6 +167,8 @@ def score(docs: DataFrame, id_col="doc_id", text_col="text", order: int = ORDER)
     )
     weights = learned_weights(events, order, uniform)
     docs_in, tokens_in = every
+    if not tokens_in:
+        weights[:] = np.eye(order + 1)[0]
 
     def scored(block_rows: pd.DataFrame, answer_rows: pd.DataFrame) -> pd.DataFrame:
         block = next(block_rows.itertuples(index=False))

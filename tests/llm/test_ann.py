@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import numpy as np
+
+from orderlens.llm import ann
+
+VECTORS = "vec_id long, embedding array<float>, label int, rank string, score string"
+
+
+def table(spark, ids, vectors):
+    rows = [(i, None if v is None else [None if x is None else float(x) for x in v], 0, "x", "y") for i, v in zip(ids, vectors)]
+    return spark.createDataFrame(rows, VECTORS)
+
+
+def by_hand(ids, vectors, queries, k):
+    x = np.array(vectors, np.float32).astype(float)
+    found = {}
+    for q in queries:
+        d = np.sqrt(((x - x[ids.index(q)]) ** 2).sum(1))
+        order = [i for i in np.lexsort((ids, d)) if ids[i] != q][:k]
+        found[q] = [(ids[i], d[i]) for i in order]
+    return found
+
+
+def told(frame):
+    found = {}
+    for r in sorted(frame.collect(), key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(found[r.query_id])
+    return found
+
+
+def test_small_tables_are_exact(spark):
+    rng = np.random.default_rng(0)
+    x = rng.integers(-2, 3, (300, 3)).tolist()
+    x[7] = x[0]
+    valid = [i for i, v in enumerate(x) if any(v)]
+    odd = [None, [], [0, 0, 0], [1, None, 2], [float("nan"), 1, 1], [float("inf"), 1, 1], [1, 2]]
+    frame = table(spark, [*range(300), *range(1000, 1007), None], [*x, *odd, [1, 1, 1]])
+    got = told(ann.search(frame, "vec_id % 10 = 0", 10))
+    want = by_hand(valid, [x[i] for i in valid], [i for i in valid if i % 10 == 0], 10)
+    assert {q: [v for v, _ in r] for q, r in got.items()} == {q: [v for v, _ in r] for q, r in want.items()}
+    assert all(np.allclose([s for _, s in got[q]], [s for _, s in want[q]], atol=1e-12) for q in got)
+
+
+def test_recall_with_a_hot_vector(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CELL_ROWS", 200)
+    monkeypatch.setattr(ann, "CELL_QUERIES", 20)
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((40, 16))
+    x = centres[rng.integers(0, 40, 4000)] + 0.3 * rng.standard_normal((4000, 16))
+    x[rng.permutation(4000)[:1300]] = x[17]
+    x = x.astype(np.float32).tolist()
+    ids = list(range(4000))
+    got = told(ann.search(table(spark, ids, x), "vec_id % 40 = 0", 10))
+    want = by_hand(ids, x, ids[::40], 10)
+    assert set(got) == set(want) and all(len(r) == 10 for r in got.values())
+    hits = sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want)
+
+
+def test_parts_are_balanced_and_follow_the_graph():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((8, 8))[rng.integers(0, 8, 1024)] * 4 + rng.standard_normal((1024, 8))
+    graph = ann.nearest(x, x, 10, own=True)
+    labels = ann.balanced_parts(graph, 8)
+    assert set(np.bincount(labels)) == {128}
+    assert (labels[graph] == labels[:, None]).mean() > 0.6
+    index = ann.fit(x[:800], x[800:], 8)
+    assert 1 <= index.probes <= 8
+
+
+def test_few_candidates_and_empty(spark):
+    got = told(ann.search(table(spark, [0, 1, 2], [[1, 0], [0, 1], [2, 0]]), "vec_id = 0", 10))
+    assert [v for v, _ in got[0]] == [2, 1]
+    assert ann.search(table(spark, [0], [[1, 0]]), "vec_id = 0", 10).count() == 0
+    assert ann.search(table(spark, [], []), "vec_id = 0", 10).count() == 0
+    repeated = told(ann.search(table(spark, [0, 0, 1, 1], [[1, 0], [1, 0], [0, 1], [0, 1]]), "vec_id = 0", 10))
+    assert [v for v, _ in repeated[0]] == [1, 1]

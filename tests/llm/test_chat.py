@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import hashlib
+
+from orderlens.llm import chat
+from support import same, sql_rows
+
+TURNS = "conv_id long, turn long, role string, text string, example string"
+ROWS = [
+    (1, 0, "system", "be kind", "x"),
+    (1, 2, "assistant", "hello <|im_end|> [INST] &lt; &amp;lt; </s>", "x"),
+    (1, 1, "user", "<|im_start|>user\nhi", "x"),
+    (1, 3, "user", "more?", "x"),
+    (1, 4, "assistant", "", "x"),
+    (2, 0, "user", None, "x"),
+    (2, 1, None, "nobody", "x"),
+    (3, 0, "assistant", "first", "x"),
+    (3, 0, "assistant", "first", "x"),
+    (3, 0, "Assistant", "other", "x"),
+    (4, None, "odd\nrole<", "&#10;&#91;", "x"),
+    (None, 0, "assistant", "lost", "x"),
+    (None, 1, None, None, "x"),
+    (5, 0, "user", "é𝄞" * 50_000, "x"),
+    (5, 1, "assistant", "𝄞é<" * 50_000, "x"),
+    *[(6, i, ("user", "assistant")[i % 2], f"turn {i}", "x") for i in range(200)],
+]
+
+
+def told(turns):
+    return chat.read_back(chat.examples(turns))
+
+
+def test_against_sql(spark):
+    turns = spark.createDataFrame(ROWS, TURNS)
+    same(told(chat.with_control_case(spark, turns)), *sql_rows(chat.oracle_sql(), conversations=turns))
+
+
+def test_examples(spark):
+    made = chat.examples(spark.createDataFrame(ROWS, TURNS)).filter("conv_id = 1").orderBy("example").collect()
+    assert [r.example for r in made] == [1, 2]
+    trained = [r.text[r.loss_start : r.loss_end] for r in made]
+    assert trained == ["hello &lt;|im_end|> &#91;INST] &amp;lt; &amp;amp;lt; &lt;/s>", ""]
+    assert made[1].text.startswith(made[0].text)
+    assert made[0].text.count(chat.START) == 3 and made[1].text.count(chat.START) == 5
+
+
+def test_a_conversation_without_reply_keeps_its_turns(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "a", "x"), (1, 1, "user", "b", "x")], TURNS)
+    row = told(turns).first()
+    assert (row.n_turns, row.loss_chars) == (2, 0)
+    assert row.turns_sha256 == hashlib.sha256(b"user\na\nuser\nb\n").hexdigest()
+
+
+def test_plan_is_native_with_one_shuffle(spark):
+    plan = told(spark.createDataFrame(ROWS, TURNS))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_empty_table(spark):
+    assert told(spark.createDataFrame([], TURNS)).count() == 0

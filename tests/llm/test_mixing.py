@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from orderlens.llm import mixing
+from support import docs_table, same, sql_rows
+
+COLUMNS = ("doc_id", "size", "source_size", "target", "taken")
+
+
+def rows():
+    out = [(i, "w " * (i % 40), "en", ("b", "a", "c", "é", None)[min(i % 7, 4)]) for i in range(700)]
+    out += [(800, None, "en", "a"), (801, "", "en", "none"), (802, "one", "en", "B"), (803, "x " * 50_000, "en", "big")]
+    return out + [(5, "w " * 5, "en", "c"), (5, "w " * 5, "en", "c"), (5, "w " * 6, None, "c"), (None, "a b c", "en", "a")]
+
+
+def mixed(table):
+    return mixing.mix(mixing.prepared(table)).select(*COLUMNS)
+
+
+def test_against_sql(spark):
+    table = docs_table(spark, rows())
+    same(mixed(table), *sql_rows(mixing.oracle_sql(), documents=table))
+
+
+def test_targets_and_caps(spark):
+    table = docs_table(spark, rows())
+    got = mixed(table).collect()
+    assert len(got) == len(rows())
+    assert all(0 <= r.taken <= 2 * r.size for r in got)
+    by_source = (
+        mixing.mix(mixing.prepared(table)).groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("g"))
+    )
+    assert all(abs(r.t - r.g) <= 0.5 for r in by_source.collect())
+    total = sum(r.size for r in got)
+    assert abs(sum(r.taken for r in got) - 1.5 * total) < 10
+    assert sorted(map(str, mixed(table.repartition(7)).collect())) == sorted(map(str, got))
+
+
+def test_sample_holds_the_words(spark):
+    table = docs_table(spark, rows())
+    mix = mixing.sample(table)
+    assert mix.columns == table.columns
+    size = mixing.word_count(F.col("text"))
+    want = {r[0]: r[1] for r in mixed(table).groupBy("doc_id").agg(F.sum("taken")).collect() if r[1]}
+    got = {r[0]: r[1] for r in mix.groupBy("doc_id").agg(F.sum(size)).collect() if r[1]}
+    assert got == want
+    assert mix.filter(F.char_length("text") != F.col("n_chars")).count() == 0
+    assert mix.filter("size <> 'y'").count() == 0
+
+
+def test_a_hot_source_is_split(spark):
+    table = docs_table(spark, [(i, "a b c", "en", "hot" if i % 3 else f"s{i % 5}") for i in range(3000)])
+    plan = mixing.mix(mixing.prepared(table))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def test_empty_and_wordless_tables(spark):
+    assert mixed(docs_table(spark, [])).count() == 0
+    got = mixed(docs_table(spark, [(1, None, "en", None), (2, " ", "en", "a")])).collect()
+    assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2

@@ -1,0 +1,158 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from orderlens.llm import ngram_join
+from orderlens.llm.components import components
+from support import docs_table, words
+
+
+def shingles(text):
+    w = words(text)
+    if len(w) < 5:
+        return frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+
+
+def union_find(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def by_hand(rows):
+    """(id, set size, component) with every pair compared."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    links = [
+        (a, b)
+        for a, (i, x) in enumerate(sets)
+        for b, (j, y) in enumerate(sets[:a])
+        if i is not None and j is not None and x and y and 100 * len(x & y) >= 80 * len(x | y)
+    ]
+    roots = union_find(range(len(sets)), links)
+    smallest = {}
+    for a, (i, _) in enumerate(sets):
+        if i is not None:
+            smallest[roots[a]] = min(i, smallest.get(roots[a], i))
+    return sorted(repr((i, len(s), None if i is None else smallest[roots[a]])) for a, (i, s) in enumerate(sets))
+
+
+def joined(spark, rows):
+    table = docs_table(spark, [(i, t, "en", "s") for i, t in rows])
+    return sorted(repr(tuple(r)) for r in ngram_join.near_duplicates(table).collect())
+
+
+def edited(rng, text, share):
+    return " ".join(f"e{rng.random()}" if rng.random() < share else w for w in text.split())
+
+
+def corpus(seed):
+    """Groups of copies, chains of edits, a passage that many share, short texts, and the odd cases."""
+    rng = random.Random(seed)
+
+    def fresh(n):
+        return " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+
+    texts = [fresh(rng.randint(1, 120)) for _ in range(60)]
+    for base in texts[:20]:
+        texts += [edited(rng, base, rng.choice([0, 0.005, 0.01, 0.02, 0.04, 0.08])) for _ in range(3)]
+    chain = fresh(200)
+    for _ in range(12):
+        texts.append(chain)
+        chain = edited(rng, chain, 0.015)
+    texts += [texts[3]] * 40
+    passage = fresh(80)
+    texts += [f"{passage} {fresh(k % 25)}" for k in range(60)]
+    texts += [f"{fresh(k % 25)} {passage.upper()}" for k in range(20)]
+    texts += ["a b c", "A  b\tc", "a b c d", "a", "b", "a b c d e", "a b c d e f", "x " * 40, "x " * 50, "É é", "é é"]
+    rng.shuffle(texts)
+    return [(3 * k + 5, t) for k, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_against_all_pairs(spark, seed):
+    rows = corpus(seed)
+    assert joined(spark, rows) == by_hand(rows)
+
+
+def test_odd_rows(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    other = " ".join(f"v{k}" for k in range(30))
+    rows = [(1, None), (2, ""), (3, " \n"), (9, text), (4, text), (4, text), (None, text), (None, text), (12, other)]
+    rows += [(7, "w " * 100_000), (8, "w " * 100_001), (10, " ".join(map(str, range(60_000))))]
+    rows += [(11, " ".join(map(str, range(60_001))))]
+    assert joined(spark, rows) == by_hand(rows)
+
+
+def test_an_id_with_two_texts(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    for rows in ([(5, a), (5, b), (3, a), (4, b)], [(3, a), (3, b), (4, a), (5, b)]):
+        assert joined(spark, rows) == by_hand(rows)
+
+
+def test_one_of_each(spark):
+    rows = corpus(1) + [(None, "x y z")] + corpus(1)[:1]
+    table = docs_table(spark, [(i, t, "en", "s") for i, t in rows])
+    kept = ngram_join.one_of_each(table)
+    assert kept.columns == table.columns
+    want = {int(c) for _, _, c in (eval(r) for r in by_hand(rows)) if c is not None}
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted([*map(str, want), "None"])
+
+
+def test_empty_table(spark):
+    assert joined(spark, []) == []
+    assert ngram_join.one_of_each(docs_table(spark, [])).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 10**9))
+def test_filters_lose_no_link(seed):
+    """The bounds of the join, in plain numbers: linked sets share a prefix shingle that passes all of them."""
+    rng = random.Random(seed)
+    n = rng.randint(1, 60)
+    x = set(rng.sample(range(80), n))
+    y = (x - set(rng.sample(sorted(x), rng.randint(0, n // 5)))) | set(rng.sample(range(80, 90), rng.randint(0, 5)))
+    if not y or 5 * len(x & y) < 4 * len(x | y):
+        return
+    repeated = (x & y) | {k for k in range(90) if rng.random() < 0.5}
+    lists = [sorted(s & repeated) for s in (x, y)]
+    prefix = [len(s) - -(-4 * len(s) // 5) + 1 - len(s - repeated) for s in (x, y)]
+    least = (4 * (len(x) + len(y)) + 8) // 9
+    own = len((x | y) - repeated) if not (x & y) - repeated else None
+    passing = 0
+    for key in x & y:
+        i, j = (s.index(key) for s in lists)
+        if i < prefix[0] and j < prefix[1]:
+            parts = [[sum(k % 32 == p for k in s if k > key) for p in range(32)] for s in lists]
+            passing += (
+                5 * min(len(x), len(y)) >= 4 * max(len(x), len(y))
+                and min(i, j) + 1 + min(len(lists[0]) - i - 1, len(lists[1]) - j - 1) >= least
+                and own + abs(i - j) + sum(abs(a - b) for a, b in zip(*parts)) <= len(x) + len(y) - 2 * least
+            )
+    assert passing
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(160)]
+    links += [(1000 + k, 1001 + k) for k in range(40)] + [(2000, 2000 + k) for k in range(50)] + [(7, 7)]
+    frame = spark.createDataFrame([*links, (None, 3), (3, None)], "a long, b long")
+    got = {r.node: r.component for r in components(frame).collect()}
+    names = union_find({n for p in links for n in p}, links)
+    assert got == {n: names[n] for a, b in links if a != b for n in (a, b)}
+
+
+def test_no_links(spark):
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+import itertools
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from orderlens.llm import packing
+from orderlens.llm.common import written
+from support import docs_table
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
+def direct(text):
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
+
+
+def odd_texts():
+    rng = random.Random(5)
+    letters = "abcXYZéÉßİſḰ̈  ​\x1c\x85\x00'’-_123٣中文𝄞 \t\n\x0b\x0c\r"
+    made = ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(300)]
+    return made + [None, "", " ", "it's we'll <|endoftext|> <|startoftext|>x", "a" * 5000, "word " * 9000, "é ́x"]
+
+
+def test_ids_are_the_tokenizers():
+    texts = odd_texts()
+    for got, text in zip(packing.Encoder(PATH).texts(texts), texts, strict=True):
+        assert got.tolist() == direct(text)
+
+
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_WORDS", 20)
+    monkeypatch.setattr(packing, "GROUP_WORDS", 30)
+    texts = [f"some w{i} and v{i % 7}" for i in range(200)]
+    encoder = packing.Encoder(PATH)
+    for got, text in zip(encoder.texts(texts), texts, strict=True):
+        assert got.tolist() == direct(text)
+    assert len(encoder.known) <= 120
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_filling_is_closest(seed):
+    rng = random.Random(seed)
+    counts = [(n, rng.randint(1, 3)) for n in rng.sample(range(1, 30), 4)]
+    rest = rng.randint(1, 60)
+    used = packing.fill(rest, counts)
+    assert all(c <= dict(counts)[n] for n, c in used.items())
+    best = max(
+        s
+        for take in itertools.product(*(range(c + 1) for _, c in counts))
+        if (s := sum(n * t for (n, _), t in zip(counts, take))) <= rest
+    )
+    assert sum(n * c for n, c in used.items()) == best
+
+
+def test_patterns_use_every_piece_once():
+    rng = random.Random(3)
+    histogram = Counter(min(2048, int(rng.lognormvariate(6, 1.2)) + 1) for _ in range(20_000))
+    histogram[700] += 10**9
+    used = Counter()
+    for times, pattern in packing.patterns(dict(histogram)):
+        assert 0 < sum(n * c for n, c in pattern.items()) <= 2048
+        used.update({n: times * c for n, c in pattern.items()})
+    assert used == histogram
+
+
+def check_packing(rows, texts_by_id):
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.WINDOW
+    want = Counter()
+    for name, text in texts_by_id:
+        ids = np.array(direct(text), "<u4")
+        for start in range(0, len(ids), packing.WINDOW):
+            piece = ids[start : start + packing.WINDOW]
+            want[name, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)] += 1
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in rows) == want
+    return len(by_sequence)
+
+
+def test_documents_packed(spark):
+    rng = random.Random(1)
+    texts = [(i, " ".join(rng.choices("the of and quick brown fox jumps".split(), k=int(rng.lognormvariate(4, 1.5))))) for i in range(400)]
+    texts += [(1000 + i, t) for i, t in enumerate(odd_texts()[-7:])]
+    texts += [(5, "same id, another text"), (7, texts[7][1]), (None, "no id"), (None, "no id")]
+    texts += [(2000 + i, "copy " * 99) for i in range(300)]
+    table = docs_table(spark, [(i, t, "en", "s") for i, t in texts])
+    rows = packing.packed_documents(table, PATH).collect()
+    sequences = check_packing(rows, texts)
+    assert sequences <= 1.02 * sum(r.length for r in rows) / packing.WINDOW + 1
+
+
+def test_sequences_hold_the_ids(spark):
+    texts = [(i, f"text number {i} " * (i % 50)) for i in range(200)]
+    made = written(packing.pieces(docs_table(spark, [(i, t, "en", "s") for i, t in texts]), PATH), "test-pieces")
+    told = packing.sequences(packing.pack(made)).collect()
+    found = {}
+    for s in told:
+        ids, at = list(s.input_ids), 0
+        for p in s.pieces:
+            found.setdefault(p.id, []).append((p.start, ids[at : at + p.length]))
+            at += p.length
+        assert len(ids) == (at if at & (at - 1) == 0 else packing.WINDOW)
+        assert not any(ids[at:])
+    for name, text in texts:
+        assert [i for _, part in sorted(found[name]) for i in part] == direct(text)
+
+
+def test_empty_table(spark):
+    assert packing.packed_documents(docs_table(spark, []), PATH).count() == 0

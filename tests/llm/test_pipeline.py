@@ -1,0 +1,85 @@
+"""The corpus pipeline: every stage on what its predecessor kept, against brute force."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+import test_ngram_join
+import test_packing
+from orderlens.llm import mixing, quality, secrets
+from orderlens.llm.common import written
+from support import docs_table, sql_rows
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def steps(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    made = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, sf), f"test-{name}")
+        made.append(docs)
+    return made
+
+
+def test_columns_stay(steps):
+    assert all(s.columns == COLUMNS for s in steps[:-1])
+
+
+def test_quality(steps):
+    columns, rows = sql_rows(quality.oracle_sql(), documents=steps[0])
+    kept = {r[columns.index("doc_id")] for r in rows if r[columns.index("kept")]}
+    assert {r.doc_id for r in steps[1].collect()} == kept and steps[1].count() == len(kept)
+    assert steps[1].join(steps[0], COLUMNS, "left_anti").count() == 0
+
+
+def test_one_of_each_group(steps):
+    rows = [(r.doc_id, r.text) for r in steps[1].collect()]
+    names = {eval(r)[2] for r in test_ngram_join.by_hand(rows)}
+    assert sorted(r.doc_id for r in steps[2].collect()) == sorted(names)
+
+
+def test_secrets_are_masked(steps):
+    before = {r.doc_id: r.text for r in steps[2].collect()}
+    after = {r.doc_id: r for r in steps[3].collect()}
+    assert before.keys() == after.keys()
+    for name, text in before.items():
+        assert after[name].text == secrets.redacted(text, "[secret]")
+        assert after[name].n_chars == len(after[name].text)
+
+
+def test_mix(steps):
+    columns, rows = sql_rows(mixing.oracle_sql(), documents=steps[3])
+    taken = {r[columns.index("doc_id")]: r[columns.index("taken")] for r in rows}
+    size = mixing.word_count(F.col("text"))
+    got = {r[0]: r[1] for r in steps[4].groupBy("doc_id").agg(F.sum(size)).collect()}
+    assert got == {k: v for k, v in taken.items() if v}
+    texts = {r.doc_id: r.text for r in steps[3].collect()}
+    assert all(texts[r.doc_id].startswith(r.text) for r in steps[4].collect())
+
+
+def test_packing(steps):
+    test_packing.check_packing(steps[5].collect(), [(r.doc_id, r.text) for r in steps[4].collect()])
+
+
+def test_run_gives_the_same(spark, sf, steps):
+    pieces = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+    got = Counter(map(tuple, corpus_pipeline.run(spark, sf).select(*pieces).collect()))
+    assert got == Counter(map(tuple, steps[5].select(*pieces).collect()))
+
+
+def test_odd_rows_pass(spark):
+    words = " ".join(f"w{k}" for k in range(80))
+    rows = [(1, None, None, None), (None, words, "en", None), (2, "", "en", "a"), (3, words, None, "a"), (3, words, None, "a")]
+    rows += [(4, "z" * 100_000, "en", "b"), (5, f"{words} password=abcdefgh", "en", "b")]
+    docs = docs_table(spark, rows)
+    for table, n in ((docs, None), (docs.limit(0), 0)):
+        out = table
+        for name, stage in corpus_pipeline.STAGES:
+            out = written(stage(spark, out, ""), f"test-odd-{name}")
+        assert out.count() == 0 if n == 0 else out.count() > 0
