@@ -28,16 +28,47 @@ from .common import written
 WINDOW = 2048
 END_ID = 1
 
-# Words of a batch that are turned into ids together, and words remembered by a task.
-GROUP_WORDS, MEMO_WORDS = 400_000, 400_000
-LONGEST_REMEMBERED = 64
+# Words of a batch that are turned into ids together, words remembered by a task, words encoded as one text.
+GROUP_WORDS, MEMO_WORDS, JOINED_WORDS = 400_000, 1_000_000, 1000
+STOPS = (b".", b",")
+
+
+class _Numbers(dict):
+    """Numbers new words as they are looked up."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
+
+
+class _Table:
+    """Rows of ids of different lengths in one array."""
+
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray):
+        self.ids, self.lengths = ids, lengths
+        self.starts = np.cumsum(lengths) - lengths
+
+    def rows(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the rows one after the other, and where each ends."""
+        counts = self.lengths[index]
+        upto = np.cumsum(counts)
+        total = int(upto[-1]) if len(upto) else 0
+        return self.ids[np.repeat(self.starts[index] - (upto - counts), counts) + np.arange(total)], upto
+
+    def __add__(self, other: _Table) -> _Table:
+        return _Table(np.concatenate([self.ids, other.ids]), np.concatenate([self.lengths, other.lengths]))
 
 
 class Encoder:
     """Ids of texts, each distinct word encoded once.
 
     The tokenizer drops white space and never looks across it, so the ids of a text are those of its words one after
-    the other. Only ASCII white space is split on here; any other is left to the tokenizer.
+    the other. Only ASCII white space is split on here; any other is left to the tokenizer. Where it ignores the case
+    of ASCII letters and splits off a full stop or comma behind them, such forms of a word are encoded once together.
     """
 
     def __init__(self, path: str):
@@ -45,39 +76,56 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.stops = self._encoded([b"", *STOPS])
+        folded = self._encoded([b"Word.", b"WORD,", b"word", b"word"])
+        parts = (self._encoded([b"word"]) + self.stops).rows(np.array([0, 2, 0, 3, 0, 0]))[0]
+        self.folds = folded.ids.tolist() == parts.tolist()
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.lengths: list[np.ndarray] = []
-
-    def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        at = len(self.known)
-        self.known.update(zip(words, range(at, at + len(words))))
-        self.lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-        self.flat.append(np.fromiter((i for x in ids for i in x), np.uint32))
+        self.known = _Numbers()
+        # The row before all words is the end id.
+        self.table = _Table(np.array([END_ID], np.uint32), np.array([1], np.int64))
+
+    def _encoded(self, words: list[bytes]) -> _Table:
+        """Ids of words, many joined by blanks in a text and told apart by the places of their tokens."""
+        texts = [b" ".join(words[i : i + JOINED_WORDS]).decode() for i in range(0, len(words), JOINED_WORDS)]
+        ids, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for text, found in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            blanks = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == ord(" "))
+            places = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
+            lengths.append(np.bincount(np.searchsorted(blanks, places), minlength=len(blanks) + 1))
+            ids.append(np.array(found.ids, np.uint32))
+        return _Table(np.concatenate(ids), np.concatenate(lengths))
+
+    def _learn(self) -> None:
+        words, forms = self.known.new, {}
+        index = np.empty((len(words), 2), np.int64)
+        for k, word in enumerate(words):
+            stop = 0
+            if self.folds and word.isascii():
+                core, stop = (word[:-1], 1 + STOPS.index(word[-1:])) if word[-1:] in STOPS else (word, 0)
+                if core.isalpha():
+                    word = core.lower()
+                else:
+                    stop = 0
+            index[k] = forms.setdefault(word, len(forms)), stop
+        index[:, 1] += len(forms)
+        made = self._encoded(list(forms)) + self.stops
+        ids, upto = made.rows(index.reshape(-1))
+        self.table += _Table(ids, np.diff(upto[1::2], prepend=0))
+        self.known.new = []
 
     def group(self, docs: list[list[bytes]]) -> list[np.ndarray]:
         """Ids of documents given as words, each followed by the end id."""
-        new = {w for words in docs for w in words if w not in self.known}
-        if new:
-            self._learn(sorted(new))
-        flat = np.concatenate([*self.flat, np.array([END_ID], np.uint32)])
-        lengths = np.concatenate([*self.lengths, np.array([1], np.int64)])
-        self.flat, self.lengths = [flat[:-1]], [lengths[:-1]]
-        starts = np.cumsum(lengths) - lengths
-        end = len(lengths) - 1
-        index = np.concatenate([np.fromiter((*map(self.known.__getitem__, w), end), np.int64) for w in docs])
-        counts = lengths[index]
-        upto = np.cumsum(counts)
-        ids = flat[np.repeat(starts[index] - (upto - counts), counts) + np.arange(upto[-1])]
-        stops = upto[np.cumsum([len(w) + 1 for w in docs]) - 1]
+        number = self.known.__getitem__
+        index = np.concatenate([np.fromiter((*map(number, w), -1), np.int64, len(w) + 1) for w in docs]) + 1
+        if self.known.new:
+            self._learn()
+        ids, upto = self.table.rows(index)
         if len(self.known) > MEMO_WORDS:
             self.clear()
-        return np.split(ids, stops[:-1])
+        return np.split(ids, upto[np.cumsum([len(w) + 1 for w in docs]) - 1][:-1])
 
     def texts(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text in order, a bounded number of words at a time."""
