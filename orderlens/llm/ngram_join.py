@@ -5,14 +5,15 @@ share a shingle within both prefixes, so sets meet on prefix shingles only, and
 document in which too few shingles do is alone without any comparison. Length, position and suffix filters bound the
 overlap of a meeting, and what passes is verified once per pair on the whole sets.
 
-A shingle shared by k sets is not expanded into k(k-1)/2 pairs. The sets of a shingle first meet its smallest set.
+A shingle shared by k sets is not expanded into k(k-1)/2 pairs. The sets of a shingle first meet its central set.
 Then only sets that are not yet connected meet: those outside the shingle's largest component meet all others. The
 result, the connected components, is the same as with all pairs.
 
 Texts are lower-cased in A-Z and split into words; a document with fewer words than a shingle has is one shingle; one
-without words or with null text has none and is linked with nothing. Equal sets are one set throughout. Documents with
-a null id are linked with nothing and have a null component; rows that repeat an id are one document. An empty table
-gives an empty result. Other columns stay out. Sets are compared by 64-bit hashes of their shingles.
+without words or with null text has none and is linked with nothing. Equal sets are one set throughout, named by a
+128-bit digest. Documents with a null id are linked with nothing and have a null component; rows that repeat an id are
+judged by their own texts. An empty table gives an empty result. Other columns stay out. Sets are compared by 64-bit
+hashes of their shingles.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from .components import components
 SHINGLE = 5
 # Similarity 4/5: sets x and y are linked if 5 * overlap >= 4 * union.
 NUMERATOR, DENOMINATOR = 4, 5
-SUFFIX_PARTS = 8
+SUFFIX_PARTS, MOST = 32, 30_000
 # Frequencies are counted by the high bits of a shingle's hash. A collision makes a shingle look more frequent, which
 # costs a comparison and no result.
 FREQUENCY_BITS = np.uint64(16)
@@ -128,54 +129,62 @@ def _coarse(keys: np.ndarray) -> np.ndarray:
 
 
 def prefix_entries(sets: DataFrame) -> DataFrame:
-    """(key, rep, n, pos, suffix): each set's prefix shingles, their place in the whole order, and how the shingles
-    after them fall into parts."""
+    """(key, rep, n, r, pos, suffix): each set's prefix shingles.
+
+    `r` of the set's n shingles occur twice or more; `pos` is the shingle's place among them. `suffix` says how the
+    shingles after it fall into parts by their hash, in small numbers that stop at `MOST`.
+    """
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = np.arange(SUFFIX_PARTS, dtype=np.uint64)
         for batch in batches:
             made = []
             for rep, n, keys, prefix in zip(batch["rep"], batch["n"], batch["keys"], batch["prefix"]):
                 part = np.asarray(keys).view(np.uint64) & np.uint64(SUFFIX_PARTS - 1)
-                held = part[:, None] == np.arange(SUFFIX_PARTS, dtype=np.uint64)
-                after = held.sum(0) - np.cumsum(held[:prefix], axis=0)
-                pos = n - len(keys) + np.arange(prefix)
-                made.append(
-                    pd.DataFrame(
-                        {"key": keys[:prefix], "rep": rep, "n": n, "pos": pos, "suffix": list(after.astype(np.int32))}
-                    )
-                )
+                total = np.bincount(part.astype(np.int64), minlength=SUFFIX_PARTS)
+                after = np.minimum(total - np.cumsum(part[:prefix, None] == parts, axis=0), MOST)
+                columns = {"key": keys[:prefix], "rep": rep, "n": n, "r": len(keys), "pos": np.arange(prefix)}
+                made.append(pd.DataFrame(columns | {"suffix": list(after.astype(np.int16))}))
             if made:
                 yield pd.concat(made)
 
     columns = sets.select("rep", "n", "keys", "prefix")
-    return columns.mapInPandas(spread, "key long, rep long, n long, pos long, suffix array<int>")
+    return columns.mapInPandas(spread, "key long, rep binary, n long, r long, pos long, suffix array<short>")
+
+
+# The least overlap of two linked sets: ceil((x + y) * t / (1 + t)).
+_OVERLAP = f"(({NUMERATOR} * (x.n + y.n) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR})"
+_PAIR = ("least(x.rep, y.rep) AS a", "greatest(x.rep, y.rep) AS b")
 
 
 def meeting_passes() -> Column:
-    """Length, position and suffix filters on two entries x and y of one shingle."""
+    """Length, position and suffix filters on two entries x and y of one shingle.
+
+    A shingle that occurs once is in no overlap, so positions and what may follow count the others only, and all
+    that occur once are differences. The suffix filter adds up the differences that are certain: before the common
+    shingle at least the difference of its positions, after it at least that of every part.
+    """
     return F.expr(
         f"""{DENOMINATOR} * least(x.n, y.n) >= {NUMERATOR} * greatest(x.n, y.n)
-        AND least(x.pos, y.pos) + 1 + least(x.n - x.pos - 1, y.n - y.pos - 1) >= {_OVERLAP}
-        AND abs(x.pos - y.pos) + aggregate(zip_with(x.suffix, y.suffix, (a, b) -> abs(a - b)), 0, (s, d) -> s + d)
+        AND least(x.pos, y.pos) + 1 + least(x.r - x.pos - 1, y.r - y.pos - 1) >= {_OVERLAP}
+        AND x.n - x.r + y.n - y.r + abs(x.pos - y.pos)
+            + aggregate(zip_with(x.suffix, y.suffix, (a, b) -> abs(a - b)), 0, (s, d) -> s + d)
             <= x.n + y.n - 2 * {_OVERLAP}"""
     )
 
 
-# The least overlap of two linked sets: ceil((x + y) * t / (1 + t)).
-_OVERLAP = (
-    f"(({NUMERATOR} * (x.n + y.n) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR})"
-)
-_PAIR = (F.expr("least(x.rep, y.rep)").alias("a"), F.expr("greatest(x.rep, y.rep)").alias("b"))
-
-
 def first_meetings(entries: DataFrame) -> DataFrame:
-    """(a, b): every set with the smallest set of each of its prefix shingles, where the filters pass."""
-    smallest = entries.groupBy("key").agg(
-        F.min(F.struct("n", "rep", "pos", "suffix")).alias("s"), F.count(F.lit(1)).alias("sets")
+    """(a, b): every set with the central set of each of its prefix shingles, where the filters pass.
+
+    Central is the set with the fewest shingles of its own: of a group of edited copies, the text they came from.
+    """
+    central = entries.groupBy("key").agg(
+        F.min(F.struct((F.col("n") - F.col("r")).alias("own"), "n", "rep", "r", "pos", "suffix")).alias("s"),
+        F.count(F.lit(1)).alias("sets"),
     )
-    smallest = written(smallest.filter("sets > 1").select("key", "s.*"), "join-smallest")
-    met = entries.alias("x").join(smallest.alias("y"), F.expr("x.key = y.key AND x.rep <> y.rep") & meeting_passes())
-    return met.select(*_PAIR).distinct()
+    central = written(central.filter("sets > 1").select("key", "s.*"), "join-central")
+    met = entries.alias("x").join(central.alias("y"), F.expr("x.key = y.key AND x.rep <> y.rep") & meeting_passes())
+    return met.selectExpr(*_PAIR).distinct()
 
 
 def further_meetings(entries: DataFrame, found: DataFrame, met: DataFrame) -> DataFrame:
@@ -195,10 +204,10 @@ def further_meetings(entries: DataFrame, found: DataFrame, met: DataFrame) -> Da
         still.filter("component <> largest")
         .alias("x")
         .join(still.alias("y"), F.expr("x.key = y.key AND x.component <> y.component") & meeting_passes())
-        .select(*_PAIR)
+        .selectExpr(*_PAIR)
         .distinct()
     )
-    return pairs.join(met, ["a", "b"], "left_anti")
+    return written(pairs, "join-pairs").join(met, ["a", "b"], "left_anti")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -227,12 +236,13 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size: int
         signed.filter("digest IS NOT NULL AND id IS NOT NULL")
         .groupBy("digest")
         .agg(
-            F.min("id").alias("rep"),
+            F.min("id").alias("first_id"),
             F.first("n").alias("n"),
             F.first("keys", ignorenulls=True).alias("keys"),
             F.first("prefix", ignorenulls=True).alias("prefix"),
         )
-        .filter("keys IS NOT NULL"),
+        .filter("keys IS NOT NULL")
+        .withColumnRenamed("digest", "rep"),
         "join-sets",
     )
     entries = written(prefix_entries(sets), "join-entries")
@@ -243,12 +253,14 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size: int
     further = verified(more, sets)
     joined = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(further)
     final = components(written(joined, "join-all"))
-    named = written(
-        sets.select("digest", "rep")
+    members = written(
+        sets.select("rep", "first_id")
         .join(final, F.col("rep") == F.col("node"), "left")
-        .select("digest", F.coalesce("component", "rep").alias("component_id")),
-        "join-names",
+        .select("rep", "first_id", F.coalesce("component", "rep").alias("component")),
+        "join-members",
     )
+    smallest = written(members.groupBy("component").agg(F.min("first_id").alias("component_id")), "join-smallest")
+    named = written(members.join(smallest, "component").select(F.col("rep").alias("digest"), "component_id"), "join-names")
     rows = signed.select("id", "n", "digest")
     alone = rows.filter("digest IS NULL OR id IS NULL").withColumn("component_id", F.col("id"))
     linked = rows.filter("digest IS NOT NULL AND id IS NOT NULL").join(named, "digest")
