@@ -5,8 +5,9 @@ clamped there, and what is left over goes to the others by weight, until no sour
 then becomes whole repetitions of all its documents and a fractional one: documents in a seeded order up to the missing
 number of words, the last of them in part.
 
-Only DataFrame functions are used. The seeded order is cut at buckets of the order's hash; sums per bucket find the
-one bucket in which a source's fraction ends, and only that bucket is ordered, so no task sorts a source. Null text has
+Only DataFrame functions are used. The seeded order is cut at buckets of the order's hash; sums per bucket, in two
+steps of at most 256 buckets a source, find the one bucket in which a source's fraction ends, and only that bucket is
+ordered, so no task sorts a source. Null text has
 size 0 and takes 0 words. The null source is a source, last in the order. Repeated rows are documents of their own.
 An empty table gives an empty result. Reruns agree. Other columns pass through; columns named like a result are
 replaced.
@@ -23,7 +24,7 @@ WEIGHTS = (5, 2, 1)
 BUDGET_PERCENT = 150
 MAX_EPOCHS = 2
 SEED = "mix-1"
-BUCKET_DIGITS = 4
+BUCKET_DIGITS = (2, 4)
 
 
 def seeded(id_col: Column, seed: str = SEED) -> Column:
@@ -48,7 +49,7 @@ def water_fill(sources: DataFrame) -> DataFrame:
         sources.withColumns({"weight": weight, "cap": F.col("source_size") * MAX_EPOCHS}), "mixing-sources"
     )
     total = table.agg(F.sum("source_size")).first()[0] or 0
-    budget, level, clamped = BUDGET_PERCENT * total / 100, 0.0, -1
+    budget, level, clamped = BUDGET_PERCENT * total / 100, 0.0, None
     while True:
         above = F.col("cap") < F.col("weight") * F.lit(level)
         caps, weights, n = table.agg(
@@ -58,16 +59,32 @@ def water_fill(sources: DataFrame) -> DataFrame:
         ).first()
         if n == clamped or not weights:
             break
-        clamped, level = n if level else -1, (budget - caps) / weights
+        clamped, level = n, (budget - caps) / weights
     return table.withColumn("target", F.least(F.col("cap").cast("double"), F.col("weight") * F.lit(level)))
 
 
+def _ends_in(buckets: DataFrame, open_at: DataFrame, digits: int) -> DataFrame:
+    """(__source, cut, left): the longer bucket inside the given one where a source's fraction ends, and the words
+    still to take in it. A source has at most 256 such buckets, so its order is short."""
+    inside = (
+        buckets.join(open_at.withColumnRenamed("__source", "__s"), F.expr("__source <=> __s AND startswith(__bucket, cut)"))
+        .groupBy("__source", "left", F.substring("__bucket", 1, digits).alias("next"))
+        .agg(F.sum("words").alias("words"))
+    )
+    before = F.sum("words").over(Window.partitionBy("__source").orderBy("next")) - F.col("words")
+    return (
+        inside.withColumn("before", before)
+        .filter("before < left AND left <= before + words")
+        .select("__source", (F.col("left") - F.col("before")).alias("left"), F.col("next").alias("cut"))
+    )
+
+
 def mix(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Prepared rows with source_size, target (double) and taken (words, repeats counted)."""
     rows = written(
-        rows.withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS)), "mixing-rows"
+        rows.withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS[-1])), "mixing-rows"
     )
-    buckets = rows.groupBy("__source", "__bucket").agg(F.sum("size").alias("words"))
+    buckets = written(rows.groupBy("__source", "__bucket").agg(F.sum("size").alias("words")), "mixing-buckets")
     sources = buckets.groupBy("__source").agg(F.sum("words").alias("source_size"))
     filled = water_fill(sources)
     epochs = F.when(
@@ -76,14 +93,10 @@ def mix(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     planned = filled.withColumn("epochs", epochs.cast("long")).withColumn(
         "missing", F.round("target").cast("long") - F.col("epochs") * F.col("source_size")
     )
-    before = F.sum("words").over(Window.partitionBy("__source").orderBy("__bucket")) - F.col("words")
-    cut = (
-        buckets.withColumn("before", before)
-        .withColumnRenamed("__source", "__s")
-        .join(planned.select("__source", "missing"), F.expr("__s <=> __source"))
-        .filter("before < missing AND missing <= before + words")
-        .select("__s", F.col("__bucket").alias("cut"), (F.col("missing") - F.col("before")).alias("left"))
-    )
+    open_at = planned.select("__source", F.col("missing").alias("left"), F.lit("").alias("cut"))
+    for digits in BUCKET_DIGITS:
+        open_at = written(_ends_in(buckets, open_at, digits), "mixing-ends")
+    cut = open_at.withColumnRenamed("__source", "__s")
     steer = written(
         planned.join(cut, F.expr("__source <=> __s"), "left").select(
             F.col("__source").alias("__key"),
