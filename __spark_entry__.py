@@ -6,9 +6,11 @@ and all, so it shares no plan with the engine.
 
 from __future__ import annotations
 
+import hashlib
 import importlib
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,8 +30,10 @@ from orderlens.operators import (
 )
 from orderlens.operators.quality import KPI_COLUMNS, SUPPLY_COLUMNS
 from orderlens.plans import cards, facts as fact_plan, insights, metrics
-from orderlens.plans.pipeline import Paths, run_pipeline
+from orderlens.functions import stamp
+from orderlens.plans.pipeline import Paths, ingest, run_pipeline
 from orderlens.sources import (
+    bad_records,
     good_records,
     land_batch,
     load_metrics,
@@ -45,31 +49,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The given tables carry dates at midnight, so a cell of 30 days holds 30 distinct times.
 CELL_SECONDS = 30 * 86400
 
-# Key statistics of a session's tables, looked up once like any table statistics. They steer the join strategy
-# only: a list out of date costs time, never rows.
-_hot_keys: dict[tuple, list[tuple]] = {}
-
-
-# The order model, defined once per session and folder like any view; no data is kept.
-_views: dict[tuple, DataFrame] = {}
-
-
-def _view(spark: SparkSession, sf: str, define: Query) -> DataFrame:
-    known = (spark.sparkContext.applicationId, sf, define)
-    if known not in _views:
-        _views[known] = define(spark, sf)
-    return _views[known]
-
-
-def _hot(spark: SparkSession, sf: str, keys: tuple[str, ...]) -> list[tuple]:
-    known = (spark.sparkContext.applicationId, sf, keys)
-    if known not in _hot_keys:
-        _hot_keys[known] = fact_plan.hot_stock_keys(_raw_orders(spark, sf), _inventory(spark, sf), keys)
-    return _hot_keys[known]
-
 
 def _raw_orders(spark, sf):
-    return _view(spark, sf, views.raw_order_lines)
+    return views.raw_order_lines(spark, sf)
 
 
 def _orders(spark, sf):
@@ -77,26 +59,20 @@ def _orders(spark, sf):
 
 
 def _inventory(spark, sf):
-    return schemas.conform_inventory(_view(spark, sf, views.raw_inventory))
+    return schemas.conform_inventory(views.raw_inventory(spark, sf))
 
 
 def _shipments(spark, sf):
-    return schemas.conform_shipments(_view(spark, sf, views.raw_shipments))
+    return schemas.conform_shipments(views.raw_shipments(spark, sf))
 
 
-def _options(spark, sf, **chosen) -> fact_plan.Options:
-    keys = tuple(chosen.get("keys", ("sku",)))
-    return fact_plan.Options(
-        dedupe_order=views.LINE_ORDER,
-        hot=_hot(spark, sf, keys),
-        cell_seconds=CELL_SECONDS,
-        **chosen,
-    )
+def _options(**chosen) -> fact_plan.Options:
+    return fact_plan.Options(dedupe_order=views.LINE_ORDER, cell_seconds=CELL_SECONDS, **chosen)
 
 
 def _lines(spark, sf):
     lines = fact_plan.order_lines(
-        _raw_orders(spark, sf), fact_plan.Options(dedupe_order=views.LINE_ORDER)
+        _raw_orders(spark, sf), _options()
     )
     return schemas.conform_orders(lines)
 
@@ -106,7 +82,7 @@ def _facts(spark, sf, **chosen):
         _raw_orders(spark, sf),
         _inventory(spark, sf),
         _shipments(spark, sf),
-        _options(spark, sf, **chosen),
+        _options(**chosen),
     )
 
 
@@ -117,17 +93,7 @@ _ASOF_COLUMNS = (
 
 def _asof(spark, sf, **chosen):
     matched = fact_plan.match_inventory(
-        _lines(spark, sf), _inventory(spark, sf), _options(spark, sf, **chosen)
-    )
-    return matched.select(*_ASOF_COLUMNS)
-
-
-def _asof_split(spark, sf):
-    """The same join, the 100 largest keys sent through the plan for oversized keys whatever their size."""
-    raw, stock = _raw_orders(spark, sf), _inventory(spark, sf)
-    largest = fact_plan.hot_stock_keys(raw, stock, ("sku",), min_rows=0, max_keys=100)
-    matched = fact_plan.match_inventory(
-        _lines(spark, sf), stock, fact_plan.Options(hot=largest, cell_seconds=CELL_SECONDS)
+        _lines(spark, sf), _inventory(spark, sf), _options(**chosen)
     )
     return matched.select(*_ASOF_COLUMNS)
 
@@ -143,9 +109,9 @@ def _latest_snapshot(spark, sf):
 
 
 def _work(spark: SparkSession, sf: str, name: str) -> str:
-    """A folder of this application, scale and query in the shared folder."""
-    scale = os.path.basename(sf.rstrip("/"))
-    return f"{shared_dir(spark)}/orderlens/{spark.sparkContext.applicationId}/{scale}/{name}"
+    """A folder of this application, table folder and query in the shared folder."""
+    tables = hashlib.sha256(sf.rstrip("/").encode()).hexdigest()[:16]
+    return f"{shared_dir(spark)}/orderlens/{spark.sparkContext.applicationId}/{tables}/{name}"
 
 
 def _scan_facts(spark, sf):
@@ -171,11 +137,72 @@ def _landed(name: str, view, schema, conform) -> Query:
 
     def run(spark, sf):
         path = _land(spark, sf, name, view(spark, sf), schema)
-        return conform(good_records(read_landing_json(spark, path, schema, multi_line=False)))
+        return conform(good_records(read_landing_json(spark, path, schema)))
 
     return run
 
 
+def _arrays(spark, sf) -> DataFrame:
+    """Landed text with one array of records per order: (order_id, sku, value), the SKU null without a line."""
+    names = [c for c in schemas.ORDERS.fieldNames() if c not in ("order_ts", "promised_delivery_ts")]
+    times = [F.col(c).cast("string").alias(c) for c in ("order_ts", "promised_delivery_ts")]
+    rows = _raw_orders(spark, sf).select(*names, *times)
+    return rows.groupBy("order_id").agg(
+        F.max("sku").alias("sku"), F.to_json(F.collect_list(F.struct(*names, *times))).alias("value")
+    )
+
+
+def _landed_arrays(spark, sf):
+    """Arrays of an order's records, one per line, in several areas read through one glob."""
+    base = _work(spark, sf, "landing/arrays")
+    arrays = _arrays(spark, sf)
+    for k in range(2):
+        arrays.where(F.crc32("order_id") % 2 == k).select("value").write.mode("overwrite").text(f"{base}/part={k}")
+    landed = read_landing_json(spark, f"{base}/part=*", schemas.ORDERS, files="*.txt")
+    return schemas.conform_orders(good_records(landed))
+
+
+def _mixture(spark, sf) -> DataFrame:
+    """Arrays, single objects for orders of one line, and a broken line for every order without one."""
+    value = (
+        F.when(F.col("sku").isNull(), F.concat(F.lit('{"order_id": "'), "order_id", F.lit('", ')))
+        .when(F.get_json_object("value", "$[1]").isNull(), F.expr("substr(value, 2, length(value) - 2)"))
+        .otherwise(F.col("value"))
+    )
+    path = _work(spark, sf, "landing/mixed")
+    _arrays(spark, sf).select(value.alias("value")).write.mode("overwrite").text(path)
+    return read_landing_json(spark, path, schemas.ORDERS, files="*.txt")
+
+
+def _landed_incremental(spark, sf):
+    """Two batches of shipments, the first one replaced after both were taken in by the stream."""
+    base = _work(spark, sf, "landing/incremental")
+    base = f"{base}-{uuid.uuid4().hex}"  # the stream remembers what it has seen
+    raw = views.raw_shipments(spark, sf)
+    delivered = F.col("status") == "DELIVERED"
+
+    def ingested():
+        return ingest(spark, f"{base}/landing", schemas.SHIPMENTS, f"{base}/shipments", False, True)
+
+    land_batch(raw.where(delivered).withColumn("carrier", F.lit("wrong")), f"{base}/landing", "b1")
+    land_batch(raw.where(~delivered), f"{base}/landing", "b2")
+    ingested()
+    land_batch(raw.where(delivered), f"{base}/landing", "b1")
+    return schemas.conform_shipments(ingested())
+
+
+def _stamped(spark, sf):
+    """Whether every row of a written fact table carries one and the same load time."""
+    path = _work(spark, sf, "stamped")
+    write_table(stamp(_facts(spark, sf, shipments="none"), "ingestion_ts"), path)
+    load = F.col("ingestion_ts")
+    return read_table(spark, path).agg(
+        F.count(F.lit(1)).alias("fact_rows"),
+        (F.count(load) == F.count(F.lit(1))).alias("all_stamped"),
+        (F.min(load) == F.max(load)).alias("one_time"),
+    )
+
+
 def _pipeline(dataset: str) -> Query:
     """Landing to gold, every layer written; returns one gold dataset as a report would load it."""
 
@@ -189,7 +216,7 @@ def _pipeline(dataset: str) -> Query:
                 ("shipments", views.raw_shipments, schemas.SHIPMENTS),
             )
         }
-        paths = Paths(**landing, silver=f"{base}/silver", gold=f"{base}/gold", multi_line=False)
+        paths = Paths(**landing, silver=f"{base}/silver", gold=f"{base}/gold")
         run_pipeline(spark, paths, fact_plan.Options(cell_seconds=CELL_SECONDS))
         return load_metrics(spark, paths.gold, dataset).drop("metric_generated_ts")
 
@@ -198,13 +225,13 @@ def _pipeline(dataset: str) -> Query:
 
 def _loaded_metrics(spark, sf):
     base = _work(spark, sf, "metrics")
-    write_metrics(metrics.revenue_kpis(_facts(spark, sf)), base)
+    write_metrics(metrics.revenue_kpis(_facts(spark, sf, shipments="none")), base)
     return load_metrics(spark, base, "revenue_kpis/by_region")
 
 
 def _sku_rank(spark, sf):
     path = _work(spark, sf, "sku_revenue")
-    write_table(metrics.revenue(_facts(spark, sf), "region", "sku"), path)
+    write_table(metrics.revenue(_facts(spark, sf, shipments="none"), "region", "sku"), path)
     return insights.sku_rank_in_region(read_table(spark, path))
 
 
@@ -238,7 +265,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def core_queries() -> dict[str, Query]:
-    every_shipment = {"shipments": "all"}
+    every_shipment, no_shipment = {"shipments": "all"}, {"shipments": "none"}
     return {
         # scans, landing and sinks
         "scan_order_facts": _scan_facts,
@@ -252,15 +279,23 @@ def core_queries() -> dict[str, Query]:
         "landed_shipments": _landed(
             "shipments", views.raw_shipments, schemas.SHIPMENTS, schemas.conform_shipments
         ),
+        "landed_arrays": _landed_arrays,
+        "landed_mixed": lambda spark, sf: schemas.conform_orders(good_records(_mixture(spark, sf))),
+        "rejected_records": lambda spark, sf: bad_records(_mixture(spark, sf)).select(
+            F.col("_corrupt_record").alias("record")
+        ),
+        "landed_incremental": _landed_incremental,
         "load_metrics_by_region": _loaded_metrics,
+        "stamped": _stamped,
         # projections and filters
         "conform_inventory": _inventory,
         "conform_shipments": _shipments,
         "order_value": _on_facts(
-            lambda f: f.select("order_id", "sku", "quantity", "price", "order_value")
+            lambda f: f.select("order_id", "sku", "quantity", "price", "order_value"), **no_shipment
         ),
         "stockout_flag": _on_facts(
-            lambda f: f.select("order_id", "sku", "inventory_at_order_time", "quantity", "stockout_flag")
+            lambda f: f.select("order_id", "sku", "inventory_at_order_time", "quantity", "stockout_flag"),
+            **no_shipment,
         ),
         "quality_kpi": _on_facts(lambda f: require(f, *KPI_COLUMNS), how="left"),
         "quality_supply": _on_facts(lambda f: require(f, *SUPPLY_COLUMNS), how="left"),
@@ -280,7 +315,6 @@ def core_queries() -> dict[str, Query]:
         "asof_inventory": _asof,
         "asof_inventory_left": lambda spark, sf: _asof(spark, sf, how="left"),
         "asof_inventory_region": lambda spark, sf: _asof(spark, sf, keys=("sku", "region")),
-        "asof_inventory_split": _asof_split,
         "order_facts": _on_facts(lambda f: f, **every_shipment),
         "order_facts_latest": _on_facts(lambda f: f),
         # reductions
@@ -289,24 +323,26 @@ def core_queries() -> dict[str, Query]:
         "distinct_order_ids": lambda spark, sf: order_ids(_orders(spark, sf)),
         "status_values": _on_facts(status_values),
         # metrics
-        "revenue_summary": _on_facts(metrics.revenue),
-        "revenue_by_region": _on_facts(lambda f: metrics.revenue(f, "region")),
-        "revenue_by_sku": _on_facts(lambda f: metrics.revenue(f, "sku")),
+        "revenue_summary": _on_facts(metrics.revenue, **no_shipment),
+        "revenue_by_region": _on_facts(lambda f: metrics.revenue(f, "region"), **no_shipment),
+        "revenue_by_sku": _on_facts(lambda f: metrics.revenue(f, "sku"), **no_shipment),
         "revenue_distinct_orders": _on_facts(
-            lambda f: metrics.revenue(f, "region", distinct_orders=True)
+            lambda f: metrics.revenue(f, "region", distinct_orders=True), **no_shipment
         ),
         "revenue_summary_fanout": _on_facts(metrics.revenue, **every_shipment),
-        "risk_summary": _on_facts(metrics.revenue_at_risk),
-        "risk_by_sku": _on_facts(lambda f: metrics.revenue_at_risk(f, "sku")),
-        "risk_by_region": _on_facts(lambda f: metrics.revenue_at_risk(f, "region")),
+        "risk_summary": _on_facts(metrics.revenue_at_risk, **no_shipment),
+        "risk_by_sku": _on_facts(lambda f: metrics.revenue_at_risk(f, "sku"), **no_shipment),
+        "risk_by_region": _on_facts(lambda f: metrics.revenue_at_risk(f, "region"), **no_shipment),
         "risk_summary_fanout": _on_facts(metrics.revenue_at_risk, **every_shipment),
         "supply_chain_summary": _on_facts(metrics.supply_chain),
         "supply_chain_summary_fanout": _on_facts(metrics.supply_chain, **every_shipment),
         "metric_totals": _on_facts(metrics.metric_totals),
         # report figures
-        "revenue_card": _on_facts(lambda f: cards.revenue_card(metrics.revenue(f))),
-        "revenue_series": _on_facts(lambda f: cards.revenue_series(metrics.revenue(f, "region"))),
-        "risk_card": _on_facts(lambda f: cards.risk_card(metrics.revenue_at_risk(f))),
+        "revenue_card": _on_facts(lambda f: cards.revenue_card(metrics.revenue(f)), **no_shipment),
+        "revenue_series": _on_facts(
+            lambda f: cards.revenue_series(metrics.revenue(f, "region")), **no_shipment
+        ),
+        "risk_card": _on_facts(lambda f: cards.risk_card(metrics.revenue_at_risk(f)), **no_shipment),
         "supply_card": _on_facts(lambda f: cards.supply_card(metrics.supply_chain(f))),
         # whole runs
         "pipeline_revenue_by_region": _pipeline("revenue_kpis/by_region"),
@@ -324,18 +360,17 @@ def core_queries() -> dict[str, Query]:
 
 _VIEWS = {
     "raw_order_lines": """
-SELECT 'ORD' || CAST(l_orderkey AS STRING) AS order_id, o_orderdate AS order_ts,
+SELECT 'ORD' || CAST(o_orderkey AS STRING) AS order_id, o_orderdate AS order_ts,
        'CUST' || CAST(o_custkey AS STRING) AS customer_id,
-       CASE WHEN l_orderkey % 2 = 0 THEN 'online' ELSE 'store' END AS channel, r_name AS region,
-       'SKU' || CAST(NULLIF(l_partkey, 0) AS STRING) AS sku, CAST(l_quantity AS BIGINT) AS qty,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'online' ELSE 'store' END AS channel, r_name AS region,
+       'SKU' || CAST(l_partkey AS STRING) AS sku, CAST(l_quantity AS BIGINT) AS qty,
        CAST(floor(p_retailprice) AS BIGINT) AS unit_price,
        CAST(round(l_discount * 100) AS BIGINT) AS discount,
        o_orderdate + INTERVAL 3 DAY AS promised_delivery_ts, o_orderstatus AS order_status,
        l_linenumber AS line_no
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
 JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-JOIN region ON n_regionkey = r_regionkey
-WHERE l_returnflag <> 'R'""",
+JOIN region ON n_regionkey = r_regionkey""",
     "order_lines": """
 SELECT * EXCLUDE (line_no, rn)
 FROM (SELECT *, row_number() OVER (PARTITION BY order_id, sku
@@ -344,11 +379,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY order_id, sku
 WHERE rn = 1""",
     "inventory_snapshots": """
 SELECT l_shipdate AS snapshot_ts, 'W' || CAST(l_suppkey AS STRING) AS warehouse_id,
-       r_name AS inventory_region, 'SKU' || CAST(NULLIF(l_partkey, 0) AS STRING) AS sku,
+       r_name AS inventory_region, 'SKU' || CAST(l_partkey AS STRING) AS sku,
        NULLIF(CAST(l_quantity AS BIGINT), 50) AS on_hand_qty
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-JOIN region ON n_regionkey = r_regionkey
-WHERE l_returnflag = 'R'""",
+JOIN region ON n_regionkey = r_regionkey""",
     "all_shipments": """
 SELECT 'ORD' || CAST(l_orderkey AS STRING) AS order_id,
        CASE l_orderkey % 3 WHEN 0 THEN 'UPS' WHEN 1 THEN 'FedEx' ELSE 'USPS' END AS carrier,
@@ -356,12 +390,12 @@ SELECT 'ORD' || CAST(l_orderkey AS STRING) AS order_id,
        CASE WHEN l_linestatus = 'F' THEN max(l_shipdate) + INTERVAL 2 DAY END AS delivered_ts,
        CASE WHEN l_linestatus = 'F' THEN 'DELIVERED' ELSE 'IN_TRANSIT' END AS delivery_status
 FROM lineitem
-WHERE l_orderkey % 10 <> 0
 GROUP BY l_orderkey, l_linestatus""",
     "latest_shipments": """
 SELECT order_id, carrier, ship_ts, delivered_ts, delivery_status
 FROM (SELECT *, row_number() OVER (PARTITION BY order_id
-                                   ORDER BY ship_ts DESC, delivery_status, carrier) AS rn
+                                   ORDER BY ship_ts DESC, lower(delivery_status) = 'delivered' DESC NULLS LAST,
+                                            delivered_ts DESC NULLS LAST, delivery_status, carrier) AS rn
       FROM all_shipments) s
 WHERE rn = 1""",
 }
@@ -429,7 +463,7 @@ SELECT count(order_id) AS total_order_lines,
        avg(CAST({stockout} AS DOUBLE)) AS stockout_rate,
        avg(CAST({done} AS DOUBLE)) AS delivery_success_rate
 FROM facts WHERE {supply}"""
-    hours = "epoch(delivered_ts - ship_ts) / 3600"
+    taken = "date_diff('microsecond', ship_ts, delivered_ts)"
     landed = {"order_lines": _LANDED_LINES}
 
     return {
@@ -438,7 +472,14 @@ FROM facts WHERE {supply}"""
         "landed_orders": _with("SELECT * EXCLUDE (line_no) FROM raw_order_lines"),
         "landed_inventory": _with("SELECT * FROM inventory_snapshots"),
         "landed_shipments": _with("SELECT * FROM all_shipments"),
+        "landed_arrays": _with("SELECT * EXCLUDE (line_no) FROM raw_order_lines"),
+        "landed_mixed": _with("SELECT * EXCLUDE (line_no) FROM raw_order_lines WHERE sku IS NOT NULL"),
+        "rejected_records": _with(
+            """SELECT '{"order_id": "' || order_id || '", ' AS record FROM raw_order_lines WHERE sku IS NULL"""
+        ),
+        "landed_incremental": _with("SELECT * FROM all_shipments"),
         "load_metrics_by_region": over_facts(region_sql),
+        "stamped": over_facts("SELECT count(*) AS fact_rows, true AS all_stamped, true AS one_time FROM facts"),
         "conform_inventory": _with("SELECT * FROM inventory_snapshots"),
         "conform_shipments": _with("SELECT * FROM all_shipments"),
         "order_value": over_facts("SELECT order_id, sku, quantity, price, order_value FROM facts"),
@@ -460,7 +501,6 @@ FROM facts WHERE {supply}"""
         "asof_inventory": over_match(),
         "asof_inventory_left": over_match(join="LEFT JOIN"),
         "asof_inventory_region": over_match(match="o.sku = i.sku AND o.region = i.inventory_region"),
-        "asof_inventory_split": over_match(),
         "order_facts": over_facts("SELECT * FROM facts", "all_shipments"),
         "order_facts_latest": over_facts("SELECT * FROM facts"),
         "dedupe_order_lines": _with("SELECT * FROM order_lines"),
@@ -524,14 +564,14 @@ FROM ({supply_sql}) s"""
         "pipeline_supply_chain": over_facts(supply_sql, **landed),
         "delivery_latency": _with(
             f"""SELECT o.order_id, o.sku, s.carrier, o.promised_delivery_ts, s.ship_ts, s.delivered_ts,
-       round({hours}, 6) AS latency_hours, s.delivered_ts > o.promised_delivery_ts AS late
+       round({taken} / 3600000000.0::DOUBLE, 6) AS latency_hours, s.delivered_ts > o.promised_delivery_ts AS late
 FROM order_lines o LEFT JOIN latest_shipments s ON o.order_id = s.order_id"""
         ),
         "carrier_performance": _with(
             f"""SELECT carrier, count(*) AS shipments,
        count(CASE WHEN lower(delivery_status) = 'delivered' THEN 1 END) AS delivered_shipments,
        avg(CAST({done} AS DOUBLE)) AS delivered_rate,
-       round(avg(round({hours}, 6)), 6) AS avg_latency_hours
+       round(sum({taken})::DOUBLE / count({taken}) / 3600000000, 6) AS avg_latency_hours
 FROM all_shipments GROUP BY carrier"""
         ),
         "sku_rank_in_region": over_facts(

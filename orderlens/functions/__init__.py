@@ -1,7 +1,9 @@
 from orderlens.functions.columns import (
+    MICROSECONDS_AN_HOUR,
     epoch_seconds,
     hours_between,
     is_delivered,
+    microseconds_between,
     order_value,
     ratio,
     stamp,
@@ -9,9 +11,11 @@ from orderlens.functions.columns import (
 )
 
 __all__ = [
+    "MICROSECONDS_AN_HOUR",
     "epoch_seconds",
     "hours_between",
     "is_delivered",
+    "microseconds_between",
     "order_value",
     "ratio",
     "stamp",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+MICROSECONDS_AN_HOUR = 3_600_000_000
+
 
 def order_value(qty="qty", unit_price="unit_price") -> Column:
     """Whole-number money: bigint times bigint, so sums are exact in any order."""
@@ -30,10 +32,18 @@ def epoch_seconds(ts: Column) -> Column:
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts))
 
 
+def microseconds_between(start: str, end: str) -> Column:
+    """Whole microseconds from start to end (zone-less times), exact in any session time zone."""
+
+    def part(name: str) -> Column:
+        return F.date_part(F.lit(name), F.col(end) - F.col(start))
+
+    minutes = (part("DAY").cast("bigint") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000_000 + (part("SECOND") * 1_000_000).cast("bigint")
+
+
 def hours_between(start: str, end: str, places: int = 6) -> Column:
-    """Hours from start to end (zone-less times), fractions of a second left out."""
-    seconds = epoch_seconds(F.col(end)) - epoch_seconds(F.col(start))
-    return F.round(seconds.cast("double") / 3600, places)
+    return F.round(microseconds_between(start, end).cast("double") / MICROSECONDS_AN_HOUR, places)
 
 
 def stamp(df: DataFrame, name: str) -> DataFrame:

@@ -8,13 +8,11 @@ from orderlens.operators.shipments import (
     shipments_for,
     status_values,
 )
-from orderlens.operators.skew import hot_keys
 
 __all__ = [
     "asof_join",
     "attach_shipments",
     "dedupe",
-    "hot_keys",
     "latest_by",
     "latest_shipments",
     "normalise_status",

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import TimestampType
 
 from orderlens.functions import epoch_seconds
 from orderlens.operators.quality import present
-from orderlens.operators.skew import MAX_KEYS, hot_keys
 
 # A cell then holds at most 60 million distinct microseconds, and a key half a million cells a year.
 CELL_SECONDS = 60
@@ -25,7 +23,6 @@ def asof_join(
     right_ts: str,
     tie_break: Sequence[str] = (),
     how: str = "inner",
-    hot: Sequence[tuple] | None = None,
     cell_seconds: int = CELL_SECONDS,
 ) -> DataFrame:
     """Left columns plus the matched right row's columns (all but the keys).
@@ -33,10 +30,18 @@ def asof_join(
     Right rows of one key and one time are settled by `tie_break`, ascending with nulls last, then by the
     remaining columns. `how="left"` keeps unmatched rows. Null keys and null times match nothing.
 
-    No pair of left and right rows is ever formed. Most keys go through one shuffle and one sort of
-    left + right (`_carry_forward`). That puts a key into one task, so the keys in `hot` take another way
-    (`_by_moment`) whose groups are bounded by the clock. `hot=None` looks them up with one counting job;
-    which keys are named affects only speed.
+    No pair of left and right rows is ever formed, every key takes the same way, and no group grows with a key:
+
+    1. Both sides together are reduced to one row per key and time, combined in the map tasks: the best right row
+       of that moment, and whether a left row asks for it. A burst at one time costs no more than a single row.
+    2. The last right row is carried forward inside cells of fixed length. A group holds at most the distinct
+       times of one cell, a bound that the clock sets and not the data.
+    3. Each cell is seeded with the newest right row of earlier cells: one row per key and cell is sorted.
+    4. Left rows fetch their answer by (key, time), an equi join on a unique key. AQE splits an oversized left
+       partition there, which is safe since every left row stands alone.
+
+    Left rows that can match nothing carry a number by their content in the last join, so that null keys are not
+    one big group.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unknown join type: {how}")
@@ -48,124 +53,61 @@ def asof_join(
     ties = [*tie_break, *[c for c in payload if c not in (right_ts, *tie_break)]]
 
     lines = left if how == "left" else left.where(present(*keys, left_ts))
-    snaps = right.where(present(*keys, right_ts))
-    if hot is None:
-        hot = hot_keys([lines, snaps], keys)
-
-    parts = []
-    if hot:
-        named = left.sparkSession.createDataFrame(list(hot), left.select(*keys).schema)
-        if len(hot) <= MAX_KEYS:
-            named = F.broadcast(named)
-        hot_lines, lines = _split(lines, named, keys)
-        hot_snaps, snaps = _split(snaps, named, keys)
-        parts.append(
-            _by_moment(
-                hot_lines, hot_snaps, keys, left_ts, right_ts, payload, ties, how, cell_seconds
-            )
-        )
-    parts.append(_carry_forward(lines, snaps, keys, left_ts, right_ts, payload, ties, how))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _split(df: DataFrame, named: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with a named key, and the others; columns stay in their order."""
-    inside, outside = (df.join(named, keys, how).select(*df.columns) for how in ("left_semi", "left_anti"))
-    return inside, outside
-
-
-def _carry_forward(left, right, keys, left_ts, right_ts, payload, ties, how) -> DataFrame:
-    """Sort both sides together by key and time and carry the last right row forward.
-
-    The right row travels as one struct, so that a null inside it is carried and not skipped. At equal times
-    right rows come first (a match at the same time counts), the tie winner last among them. Left rows that
-    can match nothing are kept apart, spread by their content, so that null keys are not one big group.
-    """
-    apart = F.when(present(*keys, left_ts), 0).otherwise(
-        1 + F.pmod(F.xxhash64(*left.columns), F.lit(APART))
+    events = _moments(lines, right, keys, left_ts, right_ts, payload, ties)
+    answers = _answers(events.withColumn("_cell", _cell(events, cell_seconds)), keys)
+    answers = answers.withColumnRenamed("_ts", left_ts).withColumn("_apart", F.lit(0).cast("bigint"))
+    apart = F.when(present(*keys, left_ts), 0).otherwise(1 + F.pmod(F.xxhash64(*left.columns), F.lit(APART)))
+    return (
+        lines.withColumn("_apart", (apart if how == "left" else F.lit(0)).cast("bigint"))
+        .join(answers, [*keys, left_ts, "_apart"], how)
+        .select(*left.columns, "_found.*")
     )
-    events = left.select(
-        "*",
-        F.col(left_ts).alias("_ts"),
-        F.lit(1).alias("_kind"),
-        (apart if how == "left" else F.lit(0)).cast("int").alias("_apart"),
-    ).unionByName(
-        right.select(
-            *keys,
-            F.col(right_ts).alias("_ts"),
-            F.lit(0).alias("_kind"),
-            F.lit(0).alias("_apart"),
-            F.struct(*payload).alias("_snap"),
-        ),
-        allowMissingColumns=True,
-    )
-    so_far = (
-        Window.partitionBy(*keys, "_apart")
-        .orderBy("_ts", "_kind", *[F.col(f"_snap.{c}").desc_nulls_first() for c in ties])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = events.withColumn("_found", F.last("_snap", ignorenulls=True).over(so_far))
-    found = found.where("_kind = 1")
-    if how == "inner":
-        found = found.where("_found IS NOT NULL")
-    return found.select(*left.columns, "_found.*")
-
 
-def _by_moment(
-    left, right, keys, left_ts, right_ts, payload, ties, how, cell_seconds
-) -> DataFrame:
-    """The same result for keys of any size.
 
-    1. Both sides are reduced to one row per key and time, combined in the map tasks, so a burst at one
-       time costs no more than a single row.
-    2. The last right row is carried forward inside cells of fixed length: a group holds at most the
-       distinct times of one cell, a bound that does not grow with the data.
-    3. Each cell is seeded with the newest right row of earlier cells: one row per key and cell is sorted.
-    4. Left rows fetch their answer by (key, time), an equi join on a unique key. AQE splits an oversized
-       left partition there, which is safe since every left row stands alone.
-    """
+def _moments(left, right, keys, left_ts, right_ts, payload, ties) -> DataFrame:
+    """(keys, _ts, _snap, _asked): one row per key and time; `_snap` is the right row that wins there, or null."""
     by_rank = [x for c in ties for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
-    best = {c: F.col(f"_best.{c}") for c in ties} | {right_ts: F.col("_ts")}
-    snaps = (
-        right.groupBy(*keys, F.col(right_ts).alias("_ts"))
-        .agg(F.min(F.struct(F.lit(0).alias("_one"), *by_rank)).alias("_best"))
-        .select(*keys, "_ts", F.struct(*[best[c].alias(c) for c in payload]).alias("_snap"))
+    snaps = right.where(present(*keys, right_ts)).select(
+        *keys,
+        F.col(right_ts).alias("_ts"),
+        F.struct(F.lit(0).alias("_one"), *by_rank).alias("_best"),
+        F.lit(False).alias("_asked"),
     )
-    moments = left.select(*keys, F.col(left_ts).alias("_ts")).where("_ts IS NOT NULL").distinct()
-    events = moments.withColumn("_kind", F.lit(1)).unionByName(
-        snaps.withColumn("_kind", F.lit(0)), allowMissingColumns=True
+    asking = left.where(present(*keys, left_ts)).select(
+        *keys, F.col(left_ts).alias("_ts"), F.lit(True).alias("_asked")
     )
-    events = events.withColumn("_cell", _cell(events, cell_seconds))
-
-    in_cell = (
-        Window.partitionBy(*keys, "_cell")
-        .orderBy("_ts", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    best = {c: F.col(f"_best.{c}") for c in ties} | {right_ts: F.col("_ts")}
+    snap = F.struct(*[best[c].alias(c) for c in payload])
+    return (
+        snaps.unionByName(asking, allowMissingColumns=True)
+        .groupBy(*keys, "_ts")
+        .agg(F.min("_best").alias("_best"), F.max("_asked").alias("_asked"))
+        .select(*keys, "_ts", F.when(F.col("_best").isNotNull(), snap).alias("_snap"), "_asked")
     )
-    inside = events.withColumn(
-        "_found", F.last("_snap", ignorenulls=True).over(in_cell)
-    ).where("_kind = 1")
 
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+
+def _answers(events: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _ts, _found) for the moments that are asked for and have a right row at or before them."""
+    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_ts")
+    so_far = in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = events.withColumns(
+        {"_inside": F.last("_snap", ignorenulls=True).over(so_far), "_next": F.lead("_ts").over(in_cell)}
     )
+    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     seeds = (
-        events.groupBy(*keys, "_cell")
-        .agg(F.max_by("_snap", F.when(F.col("_kind") == 0, F.col("_ts"))).alias("_newest"))
-        .withColumn("_seed", F.last("_newest", ignorenulls=True).over(earlier))
+        inside.where("_next IS NULL")
+        .select(*keys, "_cell", F.last("_inside", ignorenulls=True).over(earlier).alias("_seed"))
         .where("_seed IS NOT NULL")
-        .select(*keys, "_cell", "_seed")
     )
-    answers = (
-        inside.join(seeds, [*keys, "_cell"], "left")
-        .withColumn("_found", F.coalesce("_found", "_seed"))
+    return (
+        inside.where("_asked")
+        .join(seeds, [*keys, "_cell"], "left")
+        .select(*keys, "_ts", F.coalesce("_inside", "_seed").alias("_found"))
         .where("_found IS NOT NULL")
-        .select(*keys, F.col("_ts").alias(left_ts), "_found")
     )
-    return left.join(answers, [*keys, left_ts], how).select(*left.columns, "_found.*")
 
 
-def _cell(events: DataFrame, seconds: int):
+def _cell(events: DataFrame, seconds: int) -> Column:
     ts = F.col("_ts")
     if isinstance(events.schema["_ts"].dataType, TimestampType):
         return F.floor(F.unix_seconds(ts) / seconds)

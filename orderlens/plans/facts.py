@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,7 +11,6 @@ from orderlens.functions import order_value, stockout_flag
 from orderlens.operators.asof import CELL_SECONDS, asof_join
 from orderlens.operators.quality import dedupe
 from orderlens.operators.shipments import attach_shipments
-from orderlens.operators.skew import hot_keys
 
 LINE_KEYS = ("order_id", "sku")
 
@@ -22,17 +21,15 @@ class Options:
 
     how: "inner" drops lines without an earlier snapshot, "left" keeps them.
     keys: ("sku",), or ("sku", "region") to match stock of the order's own region only.
-    shipments: "latest" keeps one row per line, "all" one per line and shipment.
+    shipments: "latest" keeps one row per line, "all" one per line and shipment, "none" leaves them out.
     dedupe_order: which copy of a line wins; default is a sort over all columns.
-    hot: keys too large for one task, as tuples; None looks them up.
-    cell_seconds: cell length of the point-in-time join for those keys.
+    cell_seconds: cell length of the point-in-time join.
     """
 
     how: str = "inner"
     keys: Sequence[str] = ("sku",)
     shipments: str = "latest"
     dedupe_order: Sequence[Column | str] | None = None
-    hot: Sequence[tuple] | None = None
     cell_seconds: int = CELL_SECONDS
 
 
@@ -58,18 +55,10 @@ def match_inventory(
         "snapshot_ts",
         tie_break=["warehouse_id", "on_hand_qty"],
         how=options.how,
-        hot=options.hot,
         cell_seconds=options.cell_seconds,
     )
 
 
-def hot_stock_keys(
-    orders: DataFrame, inventory: DataFrame, keys: Sequence[str] = ("sku",), **limits: int
-) -> list[tuple]:
-    """Hot match keys, counted on the raw orders: no need to remove copies first."""
-    return hot_keys([orders, stock_by(inventory, keys)], keys, **limits)
-
-
 def project_facts(matched: DataFrame, shipments: DataFrame, policy: str) -> DataFrame:
     return attach_shipments(matched, shipments, policy).select(
         "order_id",
@@ -93,7 +82,5 @@ def build_order_facts(
     orders: DataFrame, inventory: DataFrame, shipments: DataFrame, options: Options = Options()
 ) -> DataFrame:
     """The fact table, without its load time (see `stamp`). Inputs are conformed frames."""
-    if options.hot is None:
-        options = replace(options, hot=hot_stock_keys(orders, inventory, options.keys))
     matched = match_inventory(order_lines(orders, options), inventory, options)
     return project_facts(matched, shipments, options.shipments)

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderlens.functions import hours_between, is_delivered, order_value, ratio
+from orderlens.functions import (
+    MICROSECONDS_AN_HOUR,
+    hours_between,
+    is_delivered,
+    microseconds_between,
+    order_value,
+    ratio,
+)
 from orderlens.operators.shipments import attach_shipments
 
 BANDS = 100_000
@@ -27,21 +34,21 @@ def delivery_latency(lines: DataFrame, shipments: DataFrame) -> DataFrame:
 def carrier_performance(shipments: DataFrame) -> DataFrame:
     """Per carrier: shipments, delivered rate and average hours to deliver.
 
-    Hours are summed as whole millionths, so the average does not depend on the order of the rows.
+    Times are summed as whole microseconds and divided once, so the average is the same in any order of the rows.
     """
-    millionths = F.round(hours_between("ship_ts", "delivered_ts") * 1_000_000).cast("bigint")
+    taken = microseconds_between("ship_ts", "delivered_ts")
     totals = shipments.groupBy("carrier").agg(
         F.count(F.lit(1)).alias("shipments"),
         F.count_if(is_delivered()).alias("delivered_shipments"),
-        F.sum(millionths).alias("_hours"),
-        F.count(millionths).alias("_timed"),
+        F.sum(taken).alias("_taken"),
+        F.count(taken).alias("_timed"),
     )
     return totals.select(
         "carrier",
         "shipments",
         "delivered_shipments",
         ratio(F.col("delivered_shipments"), F.col("shipments")).alias("delivered_rate"),
-        F.round(ratio(F.col("_hours"), F.col("_timed")) / 1_000_000, 6).alias("avg_latency_hours"),
+        F.round(ratio(F.col("_taken"), F.col("_timed")) / MICROSECONDS_AN_HOUR, 6).alias("avg_latency_hours"),
     )
 
 
@@ -52,7 +59,7 @@ def sku_rank_in_region(totals: DataFrame) -> DataFrame:
     give a written table. Ranking a region in one window would bring its whole catalogue into one task.
     Instead SKUs are counted per distinct revenue, those counts are summed per revenue band, and a rank is the
     count above the band plus the count above within it. Bands are 1/BANDS wide on a log scale: a region has
-    4.4 million at most, and a band no more distinct values than 1/BANDS of the revenue it stands for.
+    4.4 million at most on either side of nought, and a band no more distinct values than 1/BANDS of the revenue it stands for.
     """
     revenue = totals.where("total_revenue IS NOT NULL").select("region", "sku", "total_revenue")
     value = F.col("total_revenue")

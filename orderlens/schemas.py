@@ -64,23 +64,27 @@ ORDER_FACTS = _schema(
 
 
 def landing_schema(schema: StructType) -> StructType:
-    """Every field as text: in a multi-line JSON file one value of the wrong type would taint all its records."""
+    """Every field as text: one value of the wrong type would taint all records of its document."""
     return StructType([StructField(f.name, StringType()) for f in schema.fields])
 
 
+def typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of `schema` in their types, text that does not parse as null, then all other columns."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    cast = [
+        F.col(f.name)
+        if have.get(f.name) == f.dataType
+        else F.col(f.name).try_cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+    return df.select(*cast, *[c for c in df.columns if c not in schema.fieldNames()])
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of `schema`; text that does not parse becomes null."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    if list(have.items()) == [(f.name, f.dataType) for f in schema.fields]:
+    if [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]:
         return df
-    return df.select(
-        *[
-            F.col(f.name)
-            if have.get(f.name) == f.dataType
-            else F.col(f.name).try_cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return typed(df, schema).select(*schema.fieldNames())
 
 
 def conform_orders(df: DataFrame) -> DataFrame:

@@ -11,11 +11,17 @@ TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def times_as_text(df: DataFrame) -> DataFrame:
-    """Every time column as ISO text in one fixed pattern."""
-    times = [
-        f.name for f in df.schema.fields if isinstance(f.dataType, (TimestampType, TimestampNTZType))
-    ]
-    return df.withColumns({c: F.date_format(c, TIME_TEXT) for c in times})
+    """Every time column as ISO text in one fixed pattern, a zone-less time as it reads on the clock."""
+    text = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, TimestampType):
+            text[f.name] = F.date_format(f.name, TIME_TEXT)
+        elif isinstance(f.dataType, TimestampNTZType):
+            # Formatting would give it a zone first and move it across clock changes; its own text does not.
+            parts = F.split(F.col(f.name).cast("string"), r"\.")
+            fraction = F.rpad(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), 6, "0")
+            text[f.name] = F.concat(F.translate(F.get(parts, F.lit(0)), " ", "T"), F.lit("."), fraction)
+    return df.withColumns(text)
 
 
 def land_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "json") -> str:

@@ -30,26 +30,20 @@ def load_metrics(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Redistributes a scan that would leave more than half of the cores idle, else returns it as it is.
-
-    One small file, or one row group, is one task however many cores there are. A table of cluster size has
-    more splits than cores and is not touched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 # Folders made for applications whose cluster names none.
 _own_folders: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it. Unset (tests): one new local folder per application."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors see, as the cluster names it in its settings or for its context.
+
+    A run on one machine that names none gets one new local folder per application; a cluster has to name one.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        app = spark.sparkContext.applicationId
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        app = context.applicationId
         named = _own_folders.get(app) or _own_folders.setdefault(app, tempfile.mkdtemp(prefix="orderlens-"))
     return named.rstrip("/")

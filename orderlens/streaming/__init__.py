@@ -1,3 +1,3 @@
-from orderlens.streaming.landing import convert_new_batches
+from orderlens.streaming.landing import convert_new_batches, present_files
 
-__all__ = ["convert_new_batches"]
+__all__ = ["convert_new_batches", "present_files"]

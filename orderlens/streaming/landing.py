@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from orderlens.sources.landing import read_landing_json
+from orderlens.schemas import typed
+from orderlens.sources.landing import SOURCE, landed_files, read_landing_json
 
 
 def convert_new_batches(
@@ -15,19 +16,25 @@ def convert_new_batches(
     schema: StructType,
     table: str,
     checkpoint: str,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> StreamingQuery:
-    """Appends every landed file not yet seen to a Parquet table of landed records, exactly once, then stops.
+    """Appends every landed file not yet seen to a typed Parquet table, exactly once, then stops.
 
-    Unreadable records are kept in the table and told apart on reading (`good_records`, `bad_records`). The
+    Every record keeps the name of its file: of a batch that was replaced the old files are gone, and
+    `present_files` leaves their records out on reading. Unreadable records are kept in the table and told apart on reading (`good_records`, `bad_records`). The
     checkpoint folder remembers the files done; it must outlive the run, like the table. Copies are removed by
     the fact job, where all copies of an order line meet, so the stream keeps no state.
     """
     return (
-        read_landing_json(spark, path, schema, multi_line, stream=True)
+        typed(read_landing_json(spark, path, schema, multi_line, stream=True), schema)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(table)
     )
+
+
+def present_files(records: DataFrame, path: str) -> DataFrame:
+    """The records whose files still stand in the landing area."""
+    return records.join(landed_files(records.sparkSession, path), SOURCE, "left_semi").select(*records.columns)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderlens.sources import spread
-
 # Declared, so that opening a table runs no job; only the columns the views use.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -16,7 +14,7 @@ SCHEMAS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
     "lineitem": (
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
-        "l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+        "l_discount double, l_linestatus string, l_shipdate timestamp_ntz"
     ),
 }
 
@@ -38,34 +36,27 @@ def _region_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sku() -> Column:
-    return _labelled("SKU", F.nullif(F.col("l_partkey"), F.lit(0))).alias("sku")
-
-
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two thirds of the line items, copies included."""
-    items = (
-        table(spark, sf_dir, "lineitem")
-        .where("l_returnflag <> 'R'")
-        .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
+    """All orders with their line items, copies included; an order without any is a line without SKU."""
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount"
     )
-    items = spread(items, "l_orderkey")
     orders = table(spark, sf_dir, "orders")
     part = table(spark, sf_dir, "part")
     customer = table(spark, sf_dir, "customer").join(
         _region_names(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return (
-        items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        orders.join(items, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .select(
-            _labelled("ORD", F.col("l_orderkey")).alias("order_id"),
+            _labelled("ORD", F.col("o_orderkey")).alias("order_id"),
             F.col("o_orderdate").alias("order_ts"),
             _labelled("CUST", F.col("o_custkey")).alias("customer_id"),
-            F.when(F.col("l_orderkey") % 2 == 0, "online").otherwise("store").alias("channel"),
+            F.when(F.col("o_orderkey") % 2 == 0, "online").otherwise("store").alias("channel"),
             "region",
-            _sku(),
+            _labelled("SKU", F.col("l_partkey")).alias("sku"),
             F.col("l_quantity").cast("bigint").alias("qty"),
             F.floor("p_retailprice").cast("bigint").alias("unit_price"),
             F.round(F.col("l_discount") * 100).cast("bigint").alias("discount"),
@@ -77,17 +68,20 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The remaining third as stock snapshots, under the raw column names."""
-    items = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    """All line items as stock snapshots, under the raw column names."""
     supplier = table(spark, sf_dir, "supplier").join(
         _region_names(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")
     )
-    return items.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("l_shipdate").alias("snapshot_ts"),
-        _labelled("W", F.col("l_suppkey")).alias("warehouse_id"),
-        "region",
-        _sku(),
-        F.nullif(F.col("l_quantity").cast("bigint"), F.lit(50)).alias("on_hand_qty"),
+    return (
+        table(spark, sf_dir, "lineitem")
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .select(
+            F.col("l_shipdate").alias("snapshot_ts"),
+            _labelled("W", F.col("l_suppkey")).alias("warehouse_id"),
+            "region",
+            _labelled("SKU", F.col("l_partkey")).alias("sku"),
+            F.nullif(F.col("l_quantity").cast("bigint"), F.lit(50)).alias("on_hand_qty"),
+        )
     )
 
 
@@ -96,8 +90,7 @@ def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     key, done = F.col("l_orderkey"), F.col("l_linestatus") == "F"
     return (
-        items.where(key % 10 != 0)
-        .groupBy("l_orderkey", "l_linestatus")
+        items.groupBy("l_orderkey", "l_linestatus")
         .agg(F.min("l_shipdate").alias("ship_ts"), F.max("l_shipdate").alias("_last"))
         .select(
             _labelled("ORD", key).alias("order_id"),

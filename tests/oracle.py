@@ -49,7 +49,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     from conftest import session
 
     spark, con, failures = session(), connect(sf_dir), 0
-    for name in names or entry.queries():
+    for name in names or entry.core_queries():
         start = time.time()
         try:
             verdict = compare(spark, con, sf_dir, name)

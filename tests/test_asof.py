@@ -1,4 +1,4 @@
-"""The point-in-time join on hand-made and random rows, through both of its plans."""
+"""The point-in-time join on hand-made and random rows."""
 
 from __future__ import annotations
 
@@ -6,28 +6,23 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from orderlens.operators import asof_join, hot_keys
+from orderlens.operators import asof_join
 
 LEFT = "line string, sku string, region string, order_ts timestamp_ntz"
 RIGHT = "sku string, snapshot_ts timestamp_ntz, warehouse_id string, on_hand_qty bigint"
 DAY = datetime(2024, 1, 10)
-PLANS = ["window", "split"]
 
 
 def at(hour: float) -> datetime:
     return DAY + timedelta(hours=hour)
 
 
-def join(spark, lines, snaps, plan, how="inner", cell_seconds=3600):
-    left = spark.createDataFrame(lines, LEFT)
-    right = spark.createDataFrame(snaps, RIGHT)
-    skus = {row[1] for row in lines} | {row[0] for row in snaps}
-    hot = [(s,) for s in sorted(skus - {None})] if plan == "split" else []
+def join(spark, lines, snaps, how="inner", cell_seconds=3600):
     matched = asof_join(
-        left, right, ["sku"], "order_ts", "snapshot_ts", ["warehouse_id", "on_hand_qty"],
-        how=how, hot=hot, cell_seconds=cell_seconds,
+        spark.createDataFrame(lines, LEFT), spark.createDataFrame(snaps, RIGHT), ["sku"], "order_ts", "snapshot_ts",
+        ["warehouse_id", "on_hand_qty"], how=how, cell_seconds=cell_seconds,
     )
     return {
         r["line"]: (r["snapshot_ts"], r["warehouse_id"], r["on_hand_qty"]) for r in matched.collect()
@@ -52,26 +47,22 @@ def brute_force(lines, snaps, how):
     return out
 
 
-@pytest.mark.parametrize("plan", PLANS)
-def test_later_snapshot_of_the_same_day_is_not_seen(spark, plan):
+def test_later_snapshot_of_the_same_day_is_not_seen(spark):
     found = join(
         spark,
         [("l", "A", "x", at(9))],
         [("A", at(8), "W1", 20), ("A", at(10), "W1", 1)],
-        plan,
     )
     assert found == {"l": (at(8), "W1", 20)}
 
 
-@pytest.mark.parametrize("plan", PLANS)
-def test_equal_time_matches(spark, plan):
-    found = join(spark, [("l", "A", "x", at(9))], [("A", at(9), "W1", 7)], plan)
+def test_equal_time_matches(spark):
+    found = join(spark, [("l", "A", "x", at(9))], [("A", at(9), "W1", 7)])
     assert found == {"l": (at(9), "W1", 7)}
 
 
-@pytest.mark.parametrize("plan", PLANS)
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_unmatched_lines(spark, plan, how):
+def test_unmatched_lines(spark, how):
     lines = [
         ("late", "A", "x", at(1)),
         ("unknown", "B", "x", at(9)),
@@ -79,33 +70,31 @@ def test_unmatched_lines(spark, plan, how):
         ("no time", "A", "x", None),
     ]
     snaps = [("A", at(5), "W1", 3), (None, at(0), "W1", 4), ("A", None, "W1", 5)]
-    found = join(spark, lines, snaps, plan, how)
+    found = join(spark, lines, snaps, how)
     nothing = (None, None, None)
     assert found == ({} if how == "inner" else {line[0]: nothing for line in lines})
 
 
-@pytest.mark.parametrize("plan", PLANS)
-def test_ties_take_the_smaller_warehouse_and_nulls_last(spark, plan):
+def test_ties_take_the_smaller_warehouse_and_nulls_last(spark):
     snaps = [
         ("A", at(1), "W2", 5),
         ("A", at(1), None, 0),
         ("A", at(1), "W1", None),
         ("A", at(1), "W1", 9),
     ]
-    assert join(spark, [("l", "A", "x", at(2))], snaps, plan) == {"l": (at(1), "W1", 9)}
+    assert join(spark, [("l", "A", "x", at(2))], snaps) == {"l": (at(1), "W1", 9)}
 
 
-@pytest.mark.parametrize("plan", PLANS)
-def test_null_payload_is_a_value(spark, plan):
+def test_null_payload_is_a_value(spark):
     """The newest snapshot wins even if its quantity is unknown."""
     snaps = [("A", at(1), "W1", 5), ("A", at(2), "W1", None)]
-    found = join(spark, [("l", "A", "x", at(3)), ("m", "A", "x", at(40))], snaps, plan)
+    found = join(spark, [("l", "A", "x", at(3)), ("m", "A", "x", at(40))], snaps)
     assert found == {"l": (at(2), "W1", None), "m": (at(2), "W1", None)}
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_both_plans_equal_the_definition(spark, how, zone):
+def test_equal_to_the_definition(spark, how, zone):
     """Random rows over a clock change, many ties and nulls; cells from minutes to weeks."""
     rng = random.Random(7)
     start = datetime(2024, 3, 9)
@@ -125,30 +114,60 @@ def test_both_plans_equal_the_definition(spark, how, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        assert join(spark, lines, snaps, "window", how) == wanted
         for cell in (60, 3600, 7 * 86400):
-            assert join(spark, lines, snaps, "split", how, cell) == wanted
+            assert join(spark, lines, snaps, how, cell) == wanted
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_some_keys_split_and_found_by_counting(spark):
-    rng = random.Random(3)
-    lines = [(f"l{i}", "hot" if i % 3 == 0 else f"S{i % 40}", "x", at(rng.randrange(200))) for i in range(600)]
-    snaps = [("hot" if i % 3 == 0 else f"S{i % 40}", at(rng.randrange(200)), "W1", i) for i in range(300)]
-    left, right = spark.createDataFrame(lines, LEFT), spark.createDataFrame(snaps, RIGHT)
-    hot = hot_keys([left, right], ["sku"], min_rows=100)
-    assert hot == [("hot",)]
-    assert hot_keys([left, right], ["sku"], min_rows=0, max_keys=3)[0] == ("hot",)
-    assert len(hot_keys([left, right], ["sku"], min_rows=0, max_keys=3)) == 3
-    args = (left, right, ["sku"], "order_ts", "snapshot_ts", ["warehouse_id", "on_hand_qty"], "left")
-    split = {tuple(r) for r in asof_join(*args, hot=hot).collect()}
-    plain = {tuple(r) for r in asof_join(*args, hot=[]).collect()}
-    assert split == plain and len(plain) == 600
+def single_window(left, right):
+    """The join as one sort of each key's rows: a check on other rows than the definition can manage."""
+    events = left.select("line", "sku", F.col("order_ts").alias("ts"), F.lit(1).alias("kind")).unionByName(
+        right.select("sku", F.col("snapshot_ts").alias("ts"), F.lit(0).alias("kind"), F.col("on_hand_qty")),
+        allowMissingColumns=True,
+    )
+    so_far = Window.partitionBy("sku").orderBy("ts", "kind", F.desc("on_hand_qty")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    found = events.withColumn("found", F.last("on_hand_qty", ignorenulls=True).over(so_far))
+    return {r.line: r.found for r in found.where("kind = 1 AND found IS NOT NULL").collect()}
+
+
+def test_a_key_with_a_third_of_the_rows(spark):
+    """Every task of the join holds a small part of the rows, and the rows are those of the single window."""
+    third = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("S"), F.col("id") % 997)).alias("sku")
+
+    def when(name):
+        return (F.lit(DAY) + F.make_dt_interval(secs=F.pmod(F.xxhash64("id", F.lit(name)), F.lit(86400 * 30)))).alias(name)
+
+    left = spark.range(0, 60_000, 1, 8).select(F.col("id").cast("string").alias("line"), third, when("order_ts"))
+    right = spark.range(0, 30_000, 1, 8).select(third, when("snapshot_ts"), F.col("id").alias("on_hand_qty"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = asof_join(left, right, ["sku"], "order_ts", "snapshot_ts")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) < 3 * sum(sizes) / 64
+        assert {r.line: r.on_hand_qty for r in joined.collect()} == single_window(left, right)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_building_the_plan_runs_no_job(spark):
+    left, right = spark.createDataFrame([], LEFT), spark.createDataFrame([], RIGHT)
+    spark.sparkContext.setJobGroup("plan-only", "")
+    try:
+        asof_join(left, right, ["sku"], "order_ts", "snapshot_ts")
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")) == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
 
 
-@pytest.mark.parametrize("plan", PLANS)
-def test_several_keys_and_zoned_times(spark, plan):
+def test_several_keys_and_zoned_times(spark):
     left = spark.createDataFrame(
         [("l", "A", "east", at(5)), ("m", "A", "west", at(5))], LEFT
     ).withColumn("order_ts", F.col("order_ts").cast("timestamp"))
@@ -156,8 +175,7 @@ def test_several_keys_and_zoned_times(spark, plan):
         "sku", "CAST(snapshot_ts AS timestamp) AS snapshot_ts",
         "if(warehouse_id = 'W1', 'east', 'west') AS region", "on_hand_qty",
     )
-    hot = [("A", "east"), ("A", "west")] if plan == "split" else []
-    rows = asof_join(left, right, ["sku", "region"], "order_ts", "snapshot_ts", hot=hot).collect()
+    rows = asof_join(left, right, ["sku", "region"], "order_ts", "snapshot_ts").collect()
     assert {r["line"]: r["on_hand_qty"] for r in rows} == {"l": 1, "m": 2}
 
 
@@ -181,7 +199,7 @@ def test_a_burst_at_one_time_is_split(spark):
     try:
         for name, value in limits.items():
             spark.conf.set(name, value)
-        joined = asof_join(left, right, ["sku"], "order_ts", "snapshot_ts", hot=[("hot",)])
+        joined = asof_join(left, right, ["sku"], "order_ts", "snapshot_ts")
         counts = joined.groupBy("on_hand_qty").agg(F.count(F.lit(1)), F.max("pad"))
         assert {r[0]: r[1] for r in counts.collect()} == {1: 100_000 + 9_000, 2: 91_000}
         assert "SortMergeJoin(skew=true)" in counts._jdf.queryExecution().executedPlan().toString()
@@ -195,7 +213,7 @@ def test_keyless_lines_do_not_meet_in_one_group(spark):
         F.col("id"), F.lit(None).cast("string").alias("sku"), F.lit(DAY).alias("order_ts")
     )
     right = spark.createDataFrame([("A", at(-1), "W1", 1)], RIGHT)
-    joined = asof_join(left, right, ["sku"], "order_ts", "snapshot_ts", how="left", hot=[])
+    joined = asof_join(left, right, ["sku"], "order_ts", "snapshot_ts", how="left")
     sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in sizes) == 10_000
     assert max(r["count"] for r in sizes) < 5_000

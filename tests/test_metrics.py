@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from orderlens import schemas
+from orderlens.functions import microseconds_between
 from orderlens.plans import cards, insights, metrics
 
 T0 = datetime(2024, 1, 10)
@@ -159,3 +160,19 @@ def test_scans_read_only_what_they_need(spark, sf, tmp_path):
     assert "customer_id" not in scan and "ship_ts" not in scan
     assert "Python" not in plan
     assert plan.count("Exchange") == 1
+
+
+def test_latency_counts_microseconds(spark):
+    start, end = datetime(2024, 1, 10, 10, 0, 0, 900_000), datetime(2024, 1, 10, 10, 0, 1, 100_000)
+    rows = [("O1", "UPS", start, end, "DELIVERED"), ("O2", "USPS", end, start, "DELIVERED")]
+    rows += [("O3", "DHL", datetime(2024, 3, 9, 23, 59, 59, 999_999), datetime(2024, 3, 11, 0, 0, 0, 1), "DELIVERED")]
+    shipments = schemas.conform_shipments(spark.createDataFrame(rows, schemas.SHIPMENTS))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {r.carrier: r.avg_latency_hours for r in insights.carrier_performance(shipments).collect()}
+        assert got == {"UPS": 0.000056, "USPS": -0.000056, "DHL": 24.0}
+        exact = shipments.select("order_id", microseconds_between("ship_ts", "delivered_ts").alias("n")).collect()
+        assert {r.order_id: r.n for r in exact} == {"O1": 200_000, "O2": -200_000, "O3": 86_400_000_002}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from orderlens import schemas
 from orderlens.operators import order_ids, orders_without_shipment, shipments_for
 from orderlens.plans.facts import Options
-from orderlens.plans.pipeline import Paths, run_pipeline
+from orderlens.plans.pipeline import Paths, ingest, run_pipeline
 from orderlens.sources import (
     bad_records,
     good_records,
@@ -39,16 +39,17 @@ def order(order_id="O1", sku="A", **other):
 
 def put(folder, name, content):
     folder.mkdir(parents=True, exist_ok=True)
-    text = content if isinstance(content, str) else json.dumps(content, indent=1)
+    text = content if isinstance(content, str) else json.dumps(content)
     (folder / name).write_text(text)
 
 
-def test_array_object_and_unreadable_files(spark, tmp_path):
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_array_object_and_unreadable_files(spark, tmp_path, multi_line):
     put(tmp_path, "a.json", [order("O1"), order("O2")])
     put(tmp_path, "b.json", order("O3"))
     put(tmp_path, "c.json", '[{"order_id": "O4", ')
     put(tmp_path, "notes.txt", "not landed data")
-    landed = read_landing_json(spark, str(tmp_path), schemas.ORDERS)
+    landed = read_landing_json(spark, str(tmp_path), schemas.ORDERS, multi_line)
     assert sorted(r.order_id for r in good_records(landed).collect()) == ["O1", "O2", "O3"]
     bad = bad_records(landed).collect()
     assert len(bad) == 1 and bad[0]._source_file.endswith("c.json") and "O4" in bad[0]._corrupt_record
@@ -56,6 +57,74 @@ def test_array_object_and_unreadable_files(spark, tmp_path):
     assert good_records(glob).count() == 1
 
 
+def test_documents_over_many_lines(spark, tmp_path):
+    put(tmp_path, "a.json", json.dumps([order("O1"), order("O2", qty=None)], indent=1))
+    put(tmp_path, "b.json", json.dumps(order("O3"), indent=1) + "\n")
+    put(tmp_path, "two.json", json.dumps(order("O4")) + "\n" + json.dumps(order("O5")))
+    put(tmp_path, "list.json", json.dumps(order("O6")) + "," + json.dumps(order("O7")))
+    put(tmp_path, "empty.json", " ")
+    put(tmp_path, "none.json", "[]")
+    landed = read_landing_json(spark, str(tmp_path), schemas.ORDERS, multi_line=True)
+    good = {r.order_id: r.qty for r in good_records(landed).where("order_id IS NOT NULL").collect()}
+    assert good == {"O1": "3", "O2": None, "O3": "3"}
+    bad = sorted(r._source_file.rsplit("/", 1)[1] for r in bad_records(landed).collect())
+    assert bad == ["empty.json", "list.json", "two.json"]
+
+
+def test_every_landed_row_reaches_the_pipeline(spark, tmp_path):
+    """Batches of one object per line, as the engine itself lands them, read by the defaults."""
+    when = datetime(2024, 1, 10, 9)
+    orders = spark.range(1000).select(
+        F.concat(F.lit("O"), "id").alias("order_id"), F.lit(when).alias("order_ts"), F.lit("A").alias("sku"),
+        F.lit(1).alias("qty"), F.lit(2).alias("unit_price"),
+    )
+    land_batch(orders.coalesce(1), str(tmp_path / "orders"), "b1")
+    stock = spark.createDataFrame([(when, "W1", "East", "A", 2)], schemas.INVENTORY)
+    land_batch(stock, str(tmp_path / "inventory"), "b1")
+    land_batch(spark.createDataFrame([], schemas.SHIPMENTS), str(tmp_path / "logistics"), "b1")
+    paths = Paths(
+        orders=str(tmp_path / "orders"), inventory=str(tmp_path / "inventory"), shipments=str(tmp_path / "logistics"),
+        silver=str(tmp_path / "silver"), gold=str(tmp_path / "gold"),
+    )
+    written = run_pipeline(spark, paths, Options())
+    assert read_table(spark, written["order_facts"]).count() == 1000
+    assert read_table(spark, f"{paths.silver}/conformed/orders_rejected").count() == 0
+    conformed = read_table(spark, f"{paths.silver}/conformed/orders_landed")
+    assert conformed.schema["order_ts"].dataType == schemas.ORDERS["order_ts"].dataType
+
+
+def test_times_land_as_they_read_on_the_clock(spark, tmp_path):
+    """02:30 does not exist in New York on that day, but a zone-less time may well say so."""
+    times = [datetime(2024, 3, 10, 2, 30), datetime(2024, 11, 3, 1, 30, 0, 7), datetime(999, 1, 1), None]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(times)], "order_id string, ship_ts timestamp_ntz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        land_batch(df, str(tmp_path), "b1")
+        landed = good_records(read_landing_json(spark, str(tmp_path), schemas.SHIPMENTS))
+        back = {r.order_id: r.ship_ts for r in schemas.conform_shipments(landed).collect()}
+        assert back == {str(i): t for i, t in enumerate(times)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_replaced_batch_counts_once(spark, tmp_path):
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
+
+    def taken_in():
+        return {(r.order_id, r.carrier) for r in ingest(spark, landing, schemas.SHIPMENTS, table, False, True).collect()}
+
+    def batch(*rows):
+        return spark.createDataFrame(rows, "order_id string, carrier string")
+
+    land_batch(batch(("O1", "wrong"), ("O2", "UPS")), landing, "b1")
+    land_batch(batch(("O3", "UPS")), landing, "b2")
+    assert taken_in() == {("O1", "wrong"), ("O2", "UPS"), ("O3", "UPS")}
+    land_batch(batch(("O1", "FedEx")), landing, "b1")
+    assert taken_in() == {("O1", "FedEx"), ("O3", "UPS")}
+    assert taken_in() == {("O1", "FedEx"), ("O3", "UPS")}
+
+
 def test_values_that_do_not_parse_become_null_and_spare_the_rest(spark, tmp_path):
     put(tmp_path, "a.json", [order("O1", qty="many"), order("O2", order_ts="yesterday"), order("O3")])
     landed = good_records(read_landing_json(spark, str(tmp_path), schemas.ORDERS))
@@ -86,7 +155,7 @@ def test_batches_stand_side_by_side_and_replay_replaces(spark, tmp_path):
     land_batch(df.where("order_id = 'O1'"), path, "b2")
     text = [json.loads(x) for f in (tmp_path / "landing/batch_id=b2").glob("*.json") for x in f.read_text().splitlines()]
     assert text == [{"order_id": "O1", "ship_ts": "2024-01-10T09:00:00.000005"}]
-    landed = read_landing_json(spark, path, schemas.SHIPMENTS, multi_line=False)
+    landed = read_landing_json(spark, path, schemas.SHIPMENTS)
     assert sorted(r.order_id for r in landed.collect()) == ["O1", "O1", "O2"]
     back = schemas.conform_shipments(good_records(landed)).where("order_id = 'O1'").collect()
     assert {r.ship_ts for r in back} == {when}
@@ -217,8 +286,12 @@ def test_pipeline_from_landing_to_gold(spark, tmp_path, incremental):
 def test_own_folder_where_none_is_named():
     from types import SimpleNamespace
 
-    bare = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default),
-        sparkContext=SimpleNamespace(applicationId="none-named"),
-    )
-    assert shared_dir(bare) == shared_dir(bare) != ""
+    def bare(master, folder=None):
+        context = SimpleNamespace(applicationId="none-named", master=master, getCheckpointDir=lambda: folder)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    assert shared_dir(bare("local[8]")) == shared_dir(bare("local[*]")) == shared_dir(bare("local")) != ""
+    assert shared_dir(bare("spark://host:7077", "hdfs://shared/x/")) == "hdfs://shared/x"
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError, match="share"):
+            shared_dir(bare(master))
