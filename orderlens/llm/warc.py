@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from .common import written
+
 # Fixed values of the format.
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -74,7 +76,8 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """(page_id, url, payload, refers_to).
 
     Equal payloads are found by digest on ids alone; the smallest id of a digest leaves each map task once. Pages
-    and revisits meet on (page, digest), which no group of copies makes large.
+    and revisits meet on (page, digest), which no group of copies makes large. The revisits are a written table of
+    known size: where it is small Spark broadcasts it and no payload is shuffled.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
@@ -86,6 +89,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         .select(F.col("digest").alias("__digest"), F.col("page_id").alias("__page"), F.col("first").alias("refers_to"))
         .distinct()
     )
+    revisits = written(revisits, "warc-revisits")
     same = F.col("page_id").eqNullSafe(F.col("__page")) & (F.col("digest") == F.col("__digest"))
     return rows.join(revisits, same, "left").select("page_id", "url", "payload", "refers_to")
 
