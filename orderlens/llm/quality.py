@@ -39,7 +39,7 @@ FENCES = (
     Fence("mean_chars", 100, low=True),  # hundredths of code points a word
     Fence("symbols", 20),  # per thousand words
     Fence("dup_lines", 60),  # per thousand words
-    Fence("repeats", 60),  # per thousand words
+    Fence("repeats", 100),  # per thousand words
 )
 MIN_GROUP = 200
 

@@ -63,7 +63,7 @@ def test_mix(steps):
     assert all(texts[r.doc_id].startswith(r.text) for r in steps[4].collect())
 
 
-def test_packing(steps):
+def test_pieces(steps):
     test_packing.check_packing(steps[5].collect(), [(r.doc_id, r.text) for r in steps[4].collect()])
 
 
