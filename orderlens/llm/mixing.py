@@ -40,8 +40,8 @@ def prepared(docs: DataFrame, id_col="doc_id", text_col="text", source_col="sour
 def water_fill(sources: DataFrame) -> DataFrame:
     """(__source, source_size) with weight and target.
 
-    The water level is found by rounds over the table of sources; a round brings two sums to the driver. Clamped
-    sources stay clamped, so the rounds end.
+    Sources are numbered in one task, a row for each. The water level is found by rounds over the table of sources;
+    a round brings two sums to the driver. Clamped sources stay clamped, so the rounds end.
     """
     place = F.row_number().over(Window.orderBy(F.col("__source").asc_nulls_last()))
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), ((place - 1) % len(WEIGHTS) + 1).cast("int"))
