@@ -23,8 +23,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 from .common import from_planes, planes
 
-BLOCK_TOKENS = 1 << 20
-BUCKET_TOKENS = 1 << 20
+# Tokens of a block, and of a bucket on average: two tasks of an executor hold one each.
+BLOCK_TOKENS = 1 << 19
+BUCKET_TOKENS = 1 << 19
 END = b"\n"  # no word holds white space
 START = np.uint64(0x9E3779B97F4A7C15)
 

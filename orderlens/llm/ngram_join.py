@@ -22,8 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from . import blocks as bk
 from .common import from_planes, written
@@ -33,6 +36,8 @@ SHINGLE = 5
 # Similarity 4/5: sets x and y are linked if 5 * overlap >= 4 * union.
 NUMERATOR, DENOMINATOR = 4, 5
 SUFFIX_PARTS, MOST = 32, 30_000
+SETS_AT_ONCE = 200
+_ENTRY = "key long, rep binary, n long, r long, pos long, suffix array<short>"
 # Frequencies are counted by the high bits of a shingle's hash. A collision makes a shingle look more frequent, which
 # costs a comparison and no result.
 FREQUENCY_BITS = np.uint64(16)
@@ -135,21 +140,39 @@ def prefix_entries(sets: DataFrame) -> DataFrame:
     shingles after it fall into parts by their hash, in small numbers that stop at `MOST`.
     """
 
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = np.arange(SUFFIX_PARTS, dtype=np.uint64)
+    columns = sets.select("rep", "n", "keys", "prefix")
+    schema = to_arrow_schema(StructType.fromDDL(_ENTRY))
+    parts = np.arange(SUFFIX_PARTS, dtype=np.uint64)
+
+    def entries(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n, prefix = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "prefix"))
+        stops, values = (x.to_numpy() for x in (batch.column("keys").offsets, batch.column("keys").values))
+        sets = [values[a:b] for a, b in zip(stops, stops[1:])]
+        after = []
+        for keys, length in zip(sets, prefix):
+            part = keys.view(np.uint64) & np.uint64(SUFFIX_PARTS - 1)
+            total = np.bincount(part.astype(np.int64), minlength=SUFFIX_PARTS)
+            after.append(np.minimum(total - np.cumsum(part[:length, None] == parts, axis=0), MOST).astype(np.int16))
+        suffix = np.concatenate(after)
+        made = {
+            "key": np.concatenate([keys[:length] for keys, length in zip(sets, prefix)]),
+            "rep": batch.column("rep").take(pa.array(np.repeat(np.arange(len(n)), prefix))),
+            "n": np.repeat(n, prefix),
+            "r": np.repeat([len(keys) for keys in sets], prefix),
+            "pos": np.concatenate([np.arange(length) for length in prefix]),
+            "suffix": pa.ListArray.from_arrays(
+                pa.array(np.arange(len(suffix) + 1) * SUFFIX_PARTS, pa.int32()), pa.array(suffix.reshape(-1))
+            ),
+        }
+        arrays = [pa.array(v).cast(f.type) for v, f in zip(made.values(), schema)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
-            for rep, n, keys, prefix in zip(batch["rep"], batch["n"], batch["keys"], batch["prefix"]):
-                part = np.asarray(keys).view(np.uint64) & np.uint64(SUFFIX_PARTS - 1)
-                total = np.bincount(part.astype(np.int64), minlength=SUFFIX_PARTS)
-                after = np.minimum(total - np.cumsum(part[:prefix, None] == parts, axis=0), MOST)
-                columns = {"key": keys[:prefix], "rep": rep, "n": n, "r": len(keys), "pos": np.arange(prefix)}
-                made.append(pd.DataFrame(columns | {"suffix": list(after.astype(np.int16))}))
-            if made:
-                yield pd.concat(made)
+            for start in range(0, batch.num_rows, SETS_AT_ONCE):
+                yield entries(batch.slice(start, SETS_AT_ONCE))
 
-    columns = sets.select("rep", "n", "keys", "prefix")
-    return columns.mapInPandas(spread, "key long, rep binary, n long, r long, pos long, suffix array<short>")
+    return columns.mapInArrow(spread, _ENTRY)
 
 
 # The least overlap of two linked sets: ceil((x + y) * t / (1 + t)).
