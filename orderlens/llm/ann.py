@@ -23,6 +23,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .common import written
+
 # Bounds of the fit, documented in the README: rows of the sample, rows held out to settle the probes, parts.
 SAMPLE, HELD_OUT, MAX_PARTS = 4096, 1024, 256
 NEIGHBOURS = 10
@@ -238,13 +240,17 @@ def _top(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
 
 
 def search(vectors: DataFrame, is_query: str, k: int = 10, id_col="vec_id", vector_col="embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the nearest found of every row for which the condition on vec_id holds."""
+    """(query_id, rank, vec_id, score): the nearest found of every row for which the condition on vec_id holds.
+
+    Rows and queries are routed once and written with their parts; counts per part then say into how many cells of
+    bounded size each side of a part is split.
+    """
     rows = usable(vectors, id_col, vector_col)
     n = rows.count()
     index = build(rows, n)
     asked = rows.filter(is_query).dropDuplicates(["vec_id"])
-    placed = _routed(rows, index, 1)
-    probing = _routed(asked, index, index.probes if index else 1)
+    placed = written(_routed(rows, index, 1), "ann-rows")
+    probing = written(_routed(asked, index, index.probes if index else 1), "ann-queries")
     parts = index.parts if index else 1
 
     def cells(frame: DataFrame, size: int):

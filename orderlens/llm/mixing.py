@@ -80,10 +80,11 @@ def _ends_in(buckets: DataFrame, open_at: DataFrame, digits: int) -> DataFrame:
 
 
 def mix(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Prepared rows with source_size, target (double) and taken (words, repeats counted)."""
-    rows = written(
-        rows.withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS[-1])), "mixing-rows"
-    )
+    """Prepared rows with source_size, target (double) and taken (words, repeats counted).
+
+    The rows are read three times: for the sums, for those that are taken whole, and for the few where a fraction ends.
+    """
+    rows = rows.withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS[-1]))
     buckets = written(rows.groupBy("__source", "__bucket").agg(F.sum("size").alias("words")), "mixing-buckets")
     sources = buckets.groupBy("__source").agg(F.sum("words").alias("source_size"))
     filled = water_fill(sources)

@@ -230,20 +230,24 @@ def thresholds(measures: DataFrame, lang_col: str, source_col: str) -> DataFrame
     return picked.groupBy(*groups).agg(*ends)
 
 
-def judge(
-    docs: DataFrame, text_col="text", lang_col="lang", source_col="source", keep_text: bool = True
-) -> DataFrame:
-    """The documents with their measures, `base_failed` and `kept`.
+def judge(docs: DataFrame, text_col="text", lang_col="lang", source_col="source") -> DataFrame:
+    """The documents without their text, with their measures, `base_failed` and `kept`.
 
     Measuring is the costly step, so the measured rows are written once, and both the sketches and the judgement
-    read them; `keep_text=False` leaves the text out of that table. The judged rows are joined with one row of
-    fences per (language, source).
+    read them.
     """
-    measures = measured(docs.drop("base_failed", "kept"), text_col)
-    measures = written(measures if keep_text else measures.drop(text_col), "quality-measures")
-    fences = written(
-        thresholds(measures.select(lang_col, source_col, *MEASURES), lang_col, source_col), "quality-fences"
-    )
+    measures = measured(docs.drop("base_failed", "kept"), text_col).drop(text_col)
+    measures = written(measures, "quality-measures")
+    return judged(measures, fences(measures, lang_col, source_col), lang_col, source_col)
+
+
+def fences(measures: DataFrame, lang_col="lang", source_col="source") -> DataFrame:
+    found = thresholds(measures.select(lang_col, source_col, *MEASURES), lang_col, source_col)
+    return written(found, "quality-fences")
+
+
+def judged(measures: DataFrame, limits: DataFrame, lang_col="lang", source_col="source") -> DataFrame:
+    """Measured rows with the verdict of the base rules and of their group's fences, one row per (language, source)."""
     ratios = _ratios()
     rules = []
     for f in FENCES:
@@ -255,18 +259,22 @@ def judge(
     same = F.col(lang_col).eqNullSafe(F.col("__lang")) & F.col(source_col).eqNullSafe(F.col("__source"))
     names = measures.columns
     return (
-        measures.join(fences, same, "left")
+        measures.join(limits, same, "left")
         .select(*names, base_failed().alias("base_failed"), outlier.alias("__outlier"))
         .select(*names, "base_failed", (~F.col("base_failed") & ~F.col("__outlier")).alias("kept"))
     )
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns."""
+    """The documents that pass, with their own columns.
+
+    Texts are measured twice, for the fences and for the verdicts, rather than written beside their measures.
+    """
     given = {c: f"__given_{c}" for c in (*MEASURES, "base_failed", "kept") if c in docs.columns}
     back = {v: k for k, v in given.items()}
-    judged = judge(docs.withColumnsRenamed(given)).filter("kept").withColumnsRenamed({"kept": "__kept"})
-    return judged.drop(*MEASURES, "base_failed", "__kept").withColumnsRenamed(back).select(*docs.columns)
+    measures = measured(docs.withColumnsRenamed(given))
+    passed = judged(measures, fences(measures)).filter("kept")
+    return passed.drop(*MEASURES, "base_failed", "kept").withColumnsRenamed(back).select(*docs.columns)
 
 
 def oracle_sql() -> str:

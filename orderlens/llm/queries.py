@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import ann, chat, mixing, ngram_join, ngram_lm, packing, quality, secrets, url_filter, warc
-from .common import scratch
+from .common import scratch, written
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,8 +32,7 @@ def _url_filter(spark, sf_dir):
 
 def _quality_rules(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    judged = quality.judge(docs, keep_text=False)
-    return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
+    return quality.judge(docs).select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
 def _score_language(spark, sf_dir):
@@ -60,7 +59,8 @@ def _nearest_vectors(spark, sf_dir):
 
 def _mix_sources(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(mixing.prepared(docs).drop("text")).select("doc_id", "size", "source_size", "target", "taken")
+    sizes = written(mixing.prepared(docs).drop("text"), "mixing-sizes")
+    return mixing.mix(sizes).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def _pipeline(spark, sf_dir):
