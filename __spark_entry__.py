@@ -93,7 +93,7 @@ _ASOF_COLUMNS = (
 
 def _asof(spark, sf, **chosen):
     matched = fact_plan.match_inventory(
-        _lines(spark, sf), _inventory(spark, sf), _options(**chosen)
+        _lines(spark, sf), _inventory(spark, sf), _options(**chosen), _raw_orders(spark, sf)
     )
     return matched.select(*_ASOF_COLUMNS)
 

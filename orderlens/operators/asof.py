@@ -24,6 +24,7 @@ def asof_join(
     tie_break: Sequence[str] = (),
     how: str = "inner",
     cell_seconds: int = CELL_SECONDS,
+    asking: DataFrame | None = None,
 ) -> DataFrame:
     """Left columns plus the matched right row's columns (all but the keys).
 
@@ -40,6 +41,9 @@ def asof_join(
     4. Left rows fetch their answer by (key, time), an equi join on a unique key. AQE splits an oversized left
        partition there, which is safe since every left row stands alone.
 
+    `asking` may name a frame that holds every (key, time) of the left rows and is cheaper to read than they are,
+    such as the rows that they were chosen from; times that no left row has cost no result.
+
     Left rows that can match nothing carry a number by their content in the last join, so that null keys are not
     one big group.
     """
@@ -53,7 +57,7 @@ def asof_join(
     ties = [*tie_break, *[c for c in payload if c not in (right_ts, *tie_break)]]
 
     lines = left if how == "left" else left.where(present(*keys, left_ts))
-    events = _moments(lines, right, keys, left_ts, right_ts, payload, ties)
+    events = _moments(lines if asking is None else asking, right, keys, left_ts, right_ts, payload, ties)
     answers = _answers(events.withColumn("_cell", _cell(events, cell_seconds)), keys)
     answers = answers.withColumnRenamed("_ts", left_ts).withColumn("_apart", F.lit(0).cast("bigint"))
     apart = F.when(present(*keys, left_ts), 0).otherwise(1 + F.pmod(F.xxhash64(*left.columns), F.lit(APART)))

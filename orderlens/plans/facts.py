@@ -44,9 +44,12 @@ def stock_by(inventory: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def match_inventory(
-    lines: DataFrame, inventory: DataFrame, options: Options = Options()
+    lines: DataFrame, inventory: DataFrame, options: Options = Options(), orders: DataFrame | None = None
 ) -> DataFrame:
-    """Order lines with the newest snapshot known at the moment of the order."""
+    """Order lines with the newest snapshot known at the moment of the order.
+
+    `orders` are the raw lines these were chosen from: their times are read instead, so that copies are removed once.
+    """
     return asof_join(
         lines,
         stock_by(inventory, options.keys),
@@ -56,6 +59,7 @@ def match_inventory(
         tie_break=["warehouse_id", "on_hand_qty"],
         how=options.how,
         cell_seconds=options.cell_seconds,
+        asking=orders,
     )
 
 
@@ -82,5 +86,5 @@ def build_order_facts(
     orders: DataFrame, inventory: DataFrame, shipments: DataFrame, options: Options = Options()
 ) -> DataFrame:
     """The fact table, without its load time (see `stamp`). Inputs are conformed frames."""
-    matched = match_inventory(order_lines(orders, options), inventory, options)
+    matched = match_inventory(order_lines(orders, options), inventory, options, orders)
     return project_facts(matched, shipments, options.shipments)
