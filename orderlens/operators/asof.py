@@ -98,8 +98,9 @@ def _answers(events: DataFrame, keys: list[str]) -> DataFrame:
         {"_inside": F.last("_snap", ignorenulls=True).over(so_far), "_next": F.lead("_ts").over(in_cell)}
     )
     earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    # `_asked` is never null; naming it gives both branches the same columns, so that they share one shuffle.
     seeds = (
-        inside.where("_next IS NULL")
+        inside.where("_next IS NULL AND _asked IS NOT NULL")
         .select(*keys, "_cell", F.last("_inside", ignorenulls=True).over(earlier).alias("_seed"))
         .where("_seed IS NOT NULL")
     )
