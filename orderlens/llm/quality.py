@@ -108,18 +108,17 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
             _repeat_words(ws).cast("long").alias("n_repeat_words"),
         )
 
-    return (
-        docs.drop(*MEASURES)
-        .withColumns(
-            {
-                "__of_words": _let(words, of_words),
-                "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
-                "n_dup_lines": _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-            }
+    def row(m: Column) -> Column:
+        return F.struct(
+            m["n_words"].alias("n_words"),
+            m["word_chars"].alias("word_chars"),
+            F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+            _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            m["n_repeat_words"].alias("n_repeat_words"),
         )
-        .withColumns({c: F.col("__of_words")[c] for c in ("n_words", "word_chars", "n_repeat_words")})
-        .drop("__of_words")
-    )
+
+    # Generated columns are made once: no filter on them moves below the generator and measures the text again.
+    return docs.drop(*MEASURES).select("*", F.inline(F.transform(F.array(_let(words, of_words)), row)))
 
 
 def base_failed() -> Column:
