@@ -99,17 +99,19 @@ class Encoder:
         return _Table(np.concatenate(ids), np.concatenate(lengths))
 
     def _learn(self) -> None:
-        words, forms = self.known.new, {}
-        index = np.empty((len(words), 2), np.int64)
-        for k, word in enumerate(words):
+        forms: dict[bytes, int] = {}
+        places, stops = [], []
+        for word in self.known.new:
             stop = 0
             if self.folds and word.isascii():
-                core, stop = (word[:-1], 1 + STOPS.index(word[-1:])) if word[-1:] in STOPS else (word, 0)
+                core = word[:-1] if word[-1:] in STOPS else word
                 if core.isalpha():
+                    if core is not word:
+                        stop = 1 + STOPS.index(word[-1:])
                     word = core.lower()
-                else:
-                    stop = 0
-            index[k] = forms.setdefault(word, len(forms)), stop
+            places.append(forms.setdefault(word, len(forms)))
+            stops.append(stop)
+        index = np.array([places, stops], np.int64).T
         index[:, 1] += len(forms)
         made = self._encoded(list(forms)) + self.stops
         ids, upto = made.rows(index.reshape(-1))
