@@ -29,7 +29,9 @@ WINDOW = 2048
 END_ID = 1
 
 # Words of a batch that are turned into ids together, words remembered by a task, words encoded as one text.
-GROUP_WORDS, MEMO_WORDS, JOINED_WORDS = 400_000, 1_000_000, 1000
+GROUP_WORDS, MEMO_WORDS, JOINED_WORDS = 100_000, 600_000, 1000
+# Documents of a batch that are texts in memory at a time.
+ROWS_AT_ONCE = 500
 STOPS = (b".", b",")
 
 
@@ -161,7 +163,7 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
-        for batch in batches:
+        for batch in (b.slice(k, ROWS_AT_ONCE) for b in batches for k in range(0, b.num_rows, ROWS_AT_ONCE)):
             rows: list[list] = [[] for _ in fields]
             names = batch.column(0)
             origin = []
