@@ -15,6 +15,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -45,8 +46,8 @@ PLACEHOLDERS = frozenset(
     ("changeme", "password", "passwd", "example", "secret", "token", "default", "undefined", "required", "string")
 )
 SCORE = 0.5
-# Pieces that one expression may be made of.
-MAX_PIECES = 64
+# Bits of a full score, the characters a value's beginning is judged by, and a count that makes any other character full.
+FULL_BITS, HEAD, ENOUGH = 24, 12, 1 << 25
 
 _NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _PAIR = re.compile(
@@ -58,6 +59,7 @@ _STRING = re.compile(
     r"|\"(?P<c>(?:[^\"\\\n]|\\.)*)\"|'(?P<d>(?:[^'\\\n]|\\.)*)')"
 )
 _BARE = re.compile(r"""[^\s,;'"`(){}\[\]<>]+""")
+_CLASSES = [re.compile(c) for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9\\s]")]
 _CONSTANT = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*")
 _JOIN = re.compile(r"[ \t]*(?:\\\n[ \t]*)?(?P<plus>\+)?[ \t]*(?:\\?\n[ \t]*)?")
 
@@ -75,16 +77,53 @@ def name_score(name: str) -> float:
     return min(1.0, sum(NAME_WEIGHTS.get(w, 0.0) for w in words) + sum(0.5 for w in joined if w in NAME_WEIGHTS))
 
 
-def literal_score(value: str, quoted: bool) -> float:
+class Value(NamedTuple):
+    """What the score of a literal needs of it; pieces joined have the joined value's."""
+
+    length: int  # counted up to ENOUGH
+    head: str
+    counts: dict[str, int] | None  # None from FULL_BITS on
+    classes: frozenset[int]
+    spaced: bool
+    quoted: bool
+
+
+def _bits(counts: dict[str, int]) -> float:
+    n = sum(counts.values())
+    return -sum(c * math.log2(c / n) for c in counts.values())
+
+
+def _value(text: str, quoted: bool) -> Value:
+    classes = frozenset(i for i, c in enumerate(_CLASSES) if c.search(text))
+    return _held(len(text), text[:HEAD], Counter(text), classes, " " in text, quoted)
+
+
+def _held(length, head, counts, classes, spaced, quoted) -> Value:
+    """Pieces only add bits, so counts end with them; before, all is one letter but for a few and counts to ENOUGH."""
+    if counts is not None:
+        counts = None if _bits(counts) >= FULL_BITS else {k: min(c, ENOUGH) for k, c in counts.items()}
+    return Value(min(length, ENOUGH), head, counts, classes, spaced, quoted)
+
+
+def _together(a: Value, b: Value) -> Value:
+    counts = None
+    if a.counts is not None and b.counts is not None:
+        counts = {k: a.counts.get(k, 0) + b.counts.get(k, 0) for k in a.counts | b.counts}
+    return _held(
+        a.length + b.length, (a.head + b.head)[:HEAD], counts, a.classes | b.classes, a.spaced or b.spaced,
+        a.quoted or b.quoted,
+    )
+
+
+def literal_score(value: Value) -> float:
     """0 for what can't be a secret, rising to 1 with the bits that the characters carry."""
-    if len(value) < 6 or value.lower() in PLACEHOLDERS or value[0] in "$<{%" or "://" in value[:12]:
+    if value.length < 6 or value.head[0] in "$<{%" or "://" in value.head:
+        return 0.0
+    if value.length <= HEAD and value.head.lower() in PLACEHOLDERS:
         return 0.0
-    classes = sum(bool(re.search(c, value)) for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9\\s]"))
-    if classes < 2 and not (quoted and len(value) >= 12 and " " not in value):
+    if len(value.classes) < 2 and not (value.quoted and value.length >= 12 and not value.spaced):
         return 0.0
-    n = len(value)
-    bits = -sum(c * math.log2(c / n) for c in Counter(value).values())
-    return min(1.0, bits / 24)
+    return 1.0 if value.counts is None else min(1.0, _bits(value.counts) / FULL_BITS)
 
 
 def base_spans(text: str) -> list[Span]:
@@ -97,50 +136,103 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
-def _terms(text: str, at: int, constants: dict) -> tuple[str, list[tuple[int, int]], bool]:
-    """The value of the expression at a place, the pieces of text it is made of, and whether any was quoted."""
-    value, pieces, quoted = "", [], False
-    while True:
-        if m := _STRING.match(text, at):
-            group = m.lastgroup
-            value, quoted = value + m[group], True
-            pieces.append(m.span(group))
-        elif m := _BARE.match(text, at):
-            if _CONSTANT.fullmatch(m[0]) and m[0] in constants:
-                known, where, was_quoted = constants[m[0]]
-                value, pieces, quoted = value + known, pieces + where, quoted or was_quoted
-            elif not pieces:
-                return m[0], [m.span()], False
+class _Lexer:
+    """The expressions of a text as nodes: a piece of the text, and the nodes joined to it behind.
+
+    A node stands behind those it holds, and a constant is held, not copied, so names that double each other and long
+    chains of names stay linear. Neighbouring strings are one chain from each of their places, read once.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self.nodes: list[tuple[tuple[int, int] | None, tuple[int, ...], bool]] = []
+        self.chains: dict[int, tuple[int, int | None]] = {}
+
+    def node(self, piece, held, quoted=False) -> int:
+        self.nodes.append((piece, held, quoted))
+        return len(self.nodes) - 1
+
+    def follows(self, at: int) -> int | None:
+        """The place of the next term behind one that ends here."""
+        glue = _JOIN.match(self.text, at)
+        return glue.end() if glue["plus"] or _STRING.match(self.text, glue.end()) else None
+
+    def strings(self, at: int) -> tuple[int, int | None] | None:
+        """The strings joined from a place on, and the place of a term behind them that is none."""
+        read, place = [], at
+        while place is not None and place not in self.chains and (m := _STRING.match(self.text, place)):
+            read.append((place, m.span(m.lastgroup)))
+            place = self.follows(m.end())
+        known, after = self.chains.get(place, (None, place))
+        for start, piece in reversed(read):
+            known = self.node(piece, () if known is None else (known,), True)
+            self.chains[start] = known, after
+        return self.chains.get(at)
+
+    def expression(self, at: int | None, constants: dict[str, int]) -> int | None:
+        """The node of the expression at a place."""
+        held = []
+        while at is not None:
+            if chain := self.strings(at):
+                held.append(chain[0])
+                at = chain[1]
+            elif m := _BARE.match(self.text, at):
+                if _CONSTANT.fullmatch(m[0]) and m[0] in constants:
+                    held.append(constants[m[0]])
+                    at = self.follows(m.end())
+                elif held:
+                    break
+                else:
+                    return self.node(m.span(), ())
             else:
-                return value, pieces, quoted
-        else:
-            return value, pieces, quoted
-        if len(pieces) > MAX_PIECES:  # names that double each other would grow without end
-            return value, pieces, quoted
-        glue = _JOIN.match(text, m.end())
-        at = glue.end()
-        if not glue["plus"] and not _STRING.match(text, at):
-            return value, pieces, quoted
+                break
+        if len(held) < 2:
+            return held[0] if held else None
+        return self.node(None, tuple(held))
+
+    def values(self, wanted: set[int]) -> dict[int, Value]:
+        """The values of the wanted nodes and of all that they hold."""
+        needed = [False] * len(self.nodes)
+        for i in range(len(self.nodes) - 1, -1, -1):
+            if needed[i] or i in wanted:
+                needed[i] = True
+                for j in self.nodes[i][1]:
+                    needed[j] = True
+        found: dict[int, Value] = {}
+        for i, (piece, held, quoted) in enumerate(self.nodes):
+            if needed[i]:
+                parts = [found[j] for j in held]
+                if piece:
+                    parts.insert(0, _value(self.text[piece[0] : piece[1]], quoted))
+                found[i] = reduce(_together, parts)
+        return found
 
 
 def literal_spans(text: str) -> list[Span]:
-    """Literals that reach a sensitive name, directly or through constants, in order of assignment."""
-    lower, constants, found = text.lower(), {}, {}
+    """Literals that reach a sensitive name, directly or through constants."""
+    lower, lexer, constants, sensitive = text.lower(), _Lexer(text), {}, {}
     if not any(stem in lower for stem in ("pass", "pwd", "secret", "token", "key", "credential", "auth", "salt")):
         return []
     for m in _PAIR.finditer(text):
-        value, pieces, quoted = _terms(text, m.end(), constants)
-        if not pieces:
-            continue
-        constants[m["name"]] = (value, pieces, quoted)
-        sensitive = name_score(m["name"])
-        if sensitive <= 0:
+        node = lexer.expression(m.end(), constants)
+        if node is None:
             continue
-        score = sensitive * literal_score(value, quoted)
-        if score >= SCORE:
-            for piece in pieces:
-                if piece[0] < piece[1]:
-                    found[piece] = max(score, found.get(piece, 0.0))
+        constants[m["name"]] = node
+        score = name_score(m["name"])
+        if score > 0:
+            sensitive[node] = max(score, sensitive.get(node, 0.0))
+    if not sensitive:
+        return []
+    values = lexer.values(set(sensitive))
+    reached = {i: score for i, s in sensitive.items() if (score := s * literal_score(values[i])) >= SCORE}
+    found: dict[tuple[int, int], float] = {}
+    for i in range(len(lexer.nodes) - 1, -1, -1):
+        if i in reached:
+            piece, held, _ = lexer.nodes[i]
+            if piece and piece[0] < piece[1]:
+                found[piece] = max(reached[i], found.get(piece, 0.0))
+            for j in held:
+                reached[j] = max(reached[i], reached.get(j, 0.0))
     return [Span("literal", *piece, score) for piece, score in found.items()]
 
 

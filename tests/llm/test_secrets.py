@@ -107,3 +107,37 @@ def test_empty_table(spark):
     docs = docs_table(spark, [])
     assert secrets.digest(secrets.find_secrets(docs, ["doc_id"])).count() == 0
     assert secrets.redact(docs).count() == 0
+
+
+def random_piece(i, n=16):
+    return hashlib.sha256(str(i).encode()).hexdigest()[:n].upper()
+
+
+def pem_lines(n):
+    return [random_piece(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("glue", ["\n    ", " +\n    ", " "])
+def test_every_piece_of_a_long_expression(glue):
+    lines = pem_lines(400)
+    text = "signing_pwd = " + glue.join(f'"{line}"' for line in lines) + "\nplain = 1\n"
+    assert literals(text) == lines
+    named = "last = 'Zx81kPq7Lm2'\nsigning_pwd = " + " + ".join([*(f'"{line}"' for line in lines), "last"])
+    assert literals(named) == [A_SECRET, *lines]
+
+
+def test_a_long_chain_of_names():
+    lines = pem_lines(20_000)
+    chain = [f'a0 = "{lines[0]}"'] + [f'a{i} = a{i - 1} + "{line}"' for i, line in enumerate(lines[1:], 1)]
+    assert literals("\n".join([*chain, f"my_pwd = a{len(lines) - 1}"])) == lines
+
+
+def test_one_letter_doubled():
+    """Ever longer values of one letter carry no bits; the first other letter does."""
+    lines = ['a0 = "x"'] + [f"a{i} = a{i - 1} + a{i - 1}" for i in range(1, 3000)]
+    assert literals("\n".join([*lines, "my_pwd = a2999"])) == []
+    assert literals("\n".join([*lines, 'my_pwd = a2999 + "Y"'])) == ["x", "Y"]
+
+
+def test_strings_within_strings_stay_linear():
+    secrets.spans("pwd = " + "\"a='\"'" * 50_000)
