@@ -93,9 +93,15 @@ def _bits(counts: dict[str, int]) -> float:
     return -sum(c * math.log2(c / n) for c in counts.values())
 
 
-def _value(text: str, quoted: bool) -> Value:
-    classes = frozenset(i for i, c in enumerate(_CLASSES) if c.search(text))
-    return _held(len(text), text[:HEAD], Counter(text), classes, " " in text, quoted)
+def _value(text: str, start: int, end: int, quoted: bool) -> Value:
+    """Read as far as more characters can change a score: pieces may lie within each other."""
+    value, at, size = Value(0, "", {}, frozenset(), False, quoted), start, 64
+    while at < end and (value.counts is not None or len(value.classes) < 2):
+        part = text[at : min(at + size, end)]
+        classes = frozenset(i for i, c in enumerate(_CLASSES) if c.search(part))
+        value = _together(value, _held(len(part), part[:HEAD], Counter(part), classes, " " in part, quoted))
+        at, size = at + size, 2 * size
+    return value._replace(length=min(end - start, ENOUGH))
 
 
 def _held(length, head, counts, classes, spaced, quoted) -> Value:
@@ -147,6 +153,7 @@ class _Lexer:
         self.text = text
         self.nodes: list[tuple[tuple[int, int] | None, tuple[int, ...], bool]] = []
         self.chains: dict[int, tuple[int, int | None]] = {}
+        self.run = (0, 0)
 
     def node(self, piece, held, quoted=False) -> int:
         self.nodes.append((piece, held, quoted))
@@ -169,6 +176,15 @@ class _Lexer:
             self.chains[start] = known, after
         return self.chains.get(at)
 
+    def bare(self, at: int) -> int | None:
+        """The end of the bare word at a place. Words may be pairs again, as in a:b:c, so the last end is held."""
+        if not self.run[0] <= at < self.run[1]:
+            m = _BARE.match(self.text, at)
+            if not m:
+                return None
+            self.run = m.span()
+        return self.run[1]
+
     def expression(self, at: int | None, constants: dict[str, int]) -> int | None:
         """The node of the expression at a place."""
         held = []
@@ -176,14 +192,15 @@ class _Lexer:
             if chain := self.strings(at):
                 held.append(chain[0])
                 at = chain[1]
-            elif m := _BARE.match(self.text, at):
-                if _CONSTANT.fullmatch(m[0]) and m[0] in constants:
+            elif end := self.bare(at):
+                m = _CONSTANT.match(self.text, at)
+                if m and m.end() == end and m[0] in constants:
                     held.append(constants[m[0]])
-                    at = self.follows(m.end())
+                    at = self.follows(end)
                 elif held:
                     break
                 else:
-                    return self.node(m.span(), ())
+                    return self.node((at, end), ())
             else:
                 break
         if len(held) < 2:
@@ -203,16 +220,14 @@ class _Lexer:
             if needed[i]:
                 parts = [found[j] for j in held]
                 if piece:
-                    parts.insert(0, _value(self.text[piece[0] : piece[1]], quoted))
+                    parts.insert(0, _value(self.text, *piece, quoted))
                 found[i] = reduce(_together, parts)
         return found
 
 
 def literal_spans(text: str) -> list[Span]:
     """Literals that reach a sensitive name, directly or through constants."""
-    lower, lexer, constants, sensitive = text.lower(), _Lexer(text), {}, {}
-    if not any(stem in lower for stem in ("pass", "pwd", "secret", "token", "key", "credential", "auth", "salt")):
-        return []
+    lexer, constants, sensitive = _Lexer(text), {}, {}
     for m in _PAIR.finditer(text):
         node = lexer.expression(m.end(), constants)
         if node is None:

@@ -141,3 +141,13 @@ def test_one_letter_doubled():
 
 def test_strings_within_strings_stay_linear():
     secrets.spans("pwd = " + "\"a='\"'" * 50_000)
+
+
+@pytest.mark.parametrize("name", ["bearer", "private_signing", "encryptionPrivate", "API_ACCESS"])
+def test_names_of_any_weighted_word(name):
+    assert literals(f'{name} = "{random_piece(1, 32)}"') == [random_piece(1, 32)]
+
+
+@pytest.mark.parametrize("unit", ["a:", "TOKEN:", "pwd="])
+def test_words_that_are_pairs_again_stay_linear(unit):
+    secrets.spans(unit * 50_000)
