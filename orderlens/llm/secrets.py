@@ -51,8 +51,8 @@ FULL_BITS, HEAD, ENOUGH = 24, 12, 1 << 25
 
 _NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _PAIR = re.compile(
-    r"""(?<![A-Za-z0-9_$.-])(?P<quote>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_$.-]{0,127})(?P=quote)(?:[ \t]*\])?[ \t]*"""
-    r"""(?::=|=>|=(?!=)|:[ \t]*[A-Za-z_][A-Za-z0-9_.]{0,63}[ \t]*=(?!=)|:(?!:))[ \t]*"""
+    r"""(?<![A-Za-z0-9_$.-])(?P<quote>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_$.-]*+)(?P=quote)(?:[ \t]*\])?[ \t]*"""
+    r"""(?::=|=>|=(?!=)|:[ \t]*[A-Za-z_][A-Za-z0-9_.]*+[ \t]*=(?!=)|:(?!:))[ \t]*"""
 )
 _STRING = re.compile(
     r"[rbuRBU]{0,2}(?:\"\"\"(?P<a>(?:[^\\]|\\[\s\S])*?)\"\"\"|'''(?P<b>(?:[^\\]|\\[\s\S])*?)'''"

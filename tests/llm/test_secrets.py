@@ -151,3 +151,16 @@ def test_names_of_any_weighted_word(name):
 @pytest.mark.parametrize("unit", ["a:", "TOKEN:", "pwd="])
 def test_words_that_are_pairs_again_stay_linear(unit):
     secrets.spans(unit * 50_000)
+
+
+def test_names_and_annotations_of_any_length():
+    key = ".".join(["service", "v2"] * 30 + ["db", "pwd"])
+    assert len(key) > 300
+    assert literals(f'{key}: "{A_SECRET}"') == [A_SECRET]
+    assert literals(f'{key}x = "{A_SECRET}"\nmy_pwd = {key}x') == [A_SECRET]
+    assert literals(f'my_pwd: {key[:-7]}.Type = "{A_SECRET}"') == [A_SECRET]
+
+
+@pytest.mark.parametrize("unit", ["a", "a.", "a:", '"a', "a ", "a: ", "a\t]"])
+def test_long_names_stay_linear(unit):
+    secrets.spans(unit * 200_000)
