@@ -11,7 +11,7 @@ import test_ngram_join
 import test_ngram_lm
 import test_packing
 import test_secrets
-from orderlens.llm import queries
+from orderlens.llm import ann, queries
 from support import same
 
 TABLES = ("documents", "pages", "conversations", "embeddings", "benchmark", "labels")
@@ -82,3 +82,21 @@ def test_nearest_vectors(spark, sf):
         hits += len(found.keys() & set(best))
         assert all(abs(d[ids.index(v)] - s) < 1e-12 for v, s in found.items())
     assert hits >= 0.9 * 10 * len(got)
+
+
+def test_nearest_vectors_with_learned_partitions(spark):
+    """2,000 vectors have parts: recall@10 of every query against brute force over the whole table."""
+    folder = "/root/testdata/sf0.1"
+    rows = rows_of(folder, "SELECT vec_id, embedding FROM embeddings")[1]
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    assert ann.parts_for(len(rows)) > 1
+    got = {}
+    for r in queries.QUERIES["op9_nearest_vectors"](spark, folder).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits, asked = 0, ids[ids % 100 == 0]
+    for q in asked:
+        d = ((x - x[ids == q][0]) ** 2).sum(1)
+        best = [i for i in ids[np.lexsort((ids, d))] if i != q][:10]
+        hits += len(got.get(q, set()) & set(best))
+    print(f"recall {hits} of {10 * len(asked)}")
+    assert hits >= 0.9 * 10 * len(asked)
