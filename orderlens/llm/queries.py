@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, mixing, ngram_join, ngram_lm, packing, quality, secrets, url_filter, warc
+from . import ann, chat, mixing, ngram_join, ngram_lm, packing, quality, secrets, suffix_dedup, url_filter, warc
 from .common import scratch, written
 
 
@@ -63,6 +63,10 @@ def _mix_sources(spark, sf_dir):
     return mixing.mix(sizes).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digest(suffix_dedup.without_repeats(_read(spark, sf_dir, "documents")))
+
+
 def _pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op8_chat_format": _chat_format,
     "op9_nearest_vectors": _nearest_vectors,
     "op10_mix_sources": _mix_sources,
+    "op12_suffix_dedup": _suffix_dedup,
     "pipeline": _pipeline,
 }
 
