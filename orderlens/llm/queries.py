@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, mixing, ngram_join, ngram_lm, packing, quality, secrets, suffix_dedup, url_filter, warc
+from . import ann, chat, divergence, merkle, mixing, ngram_join, ngram_lm, packing, quality, secrets, suffix_dedup
+from . import url_filter, warc
 from .common import scratch, written
 
 
@@ -63,6 +64,14 @@ def _mix_sources(spark, sf_dir):
     return mixing.mix(sizes).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _source_divergence(spark, sf_dir):
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
+def _merkle_manifest(spark, sf_dir):
+    return merkle.audit(_read(spark, sf_dir, "documents"))
+
+
 def _suffix_dedup(spark, sf_dir):
     return suffix_dedup.digest(suffix_dedup.without_repeats(_read(spark, sf_dir, "documents")))
 
@@ -84,7 +93,9 @@ QUERIES = {
     "op8_chat_format": _chat_format,
     "op9_nearest_vectors": _nearest_vectors,
     "op10_mix_sources": _mix_sources,
+    "op11_source_divergence": _source_divergence,
     "op12_suffix_dedup": _suffix_dedup,
+    "op13_merkle_manifest": _merkle_manifest,
     "pipeline": _pipeline,
 }
 
@@ -94,4 +105,6 @@ ORACLE_SQL = {
     "op7_warc_normalise": warc.oracle_sql(),
     "op8_chat_format": chat.oracle_sql(),
     "op10_mix_sources": mixing.oracle_sql(),
+    "op11_source_divergence": divergence.oracle_sql(),
+    "op13_merkle_manifest": merkle.oracle_sql(),
 }
