@@ -29,7 +29,7 @@ from orderlens.operators import (
     stockouts,
 )
 from orderlens.operators.quality import KPI_COLUMNS, SUPPLY_COLUMNS
-from orderlens.plans import cards, facts as fact_plan, insights, metrics
+from orderlens.plans import cards, facts as fact_plan, incremental, insights, metrics, months, state
 from orderlens.functions import stamp
 from orderlens.plans.pipeline import Paths, ingest, run_pipeline
 from orderlens.sources import (
@@ -223,6 +223,33 @@ def _pipeline(dataset: str) -> Query:
     return run
 
 
+def _after_batches(spark, sf, name: str) -> incremental.Store:
+    """All rows in two batches: copies of a line, snapshots of a time before and shipments of an order come in either."""
+    store = incremental.Store(f"{_work(spark, sf, name)}-{uuid.uuid4().hex}")
+    given = (_orders(spark, sf), _inventory(spark, sf), _shipments(spark, sf))
+    for k in range(2):
+        share = [df.where((F.pmod(F.xxhash64(*df.columns), F.lit(10)) >= 7) == bool(k)) for df in given]
+        incremental.apply_batch(spark, store, f"b{k}", *share)
+    return store
+
+
+def _facts_by_month(spark, sf, name: str, **chosen) -> DataFrame:
+    """The facts with their order month, written in a folder per month and read back."""
+    path, options = _work(spark, sf, name), _options(**chosen)
+    lines, stock = _lines(spark, sf), _inventory(spark, sf)
+    matched = fact_plan.match_inventory(lines, stock, options, _raw_orders(spark, sf))
+    matched = matched.withColumn(months.MONTH, months.month_of())
+    facts = fact_plan.project_facts(matched, _shipments(spark, sf), options.shipments, [months.MONTH])
+    months.write_by_month(facts, path, replace_all=True)
+    return months.read_months(spark, path)
+
+
+def _latest_month(spark, sf):
+    """Revenue by region of the latest month with orders; the scan opens that month's folder only."""
+    facts = _facts_by_month(spark, sf, "latest_month", shipments="none")
+    return metrics.revenue(months.of_months(facts, months.last_months(facts)), months.MONTH, "region")
+
+
 def _loaded_metrics(spark, sf):
     base = _work(spark, sf, "metrics")
     write_metrics(metrics.revenue_kpis(_facts(spark, sf, shipments="none")), base)
@@ -287,6 +314,14 @@ def core_queries() -> dict[str, Query]:
         "landed_incremental": _landed_incremental,
         "load_metrics_by_region": _loaded_metrics,
         "stamped": _stamped,
+        "facts_by_month": lambda spark, sf: _facts_by_month(spark, sf, "facts_by_month"),
+        # batches
+        "facts_after_batch": lambda spark, sf: incremental.facts_now(
+            spark, _after_batches(spark, sf, "facts_after_batch")
+        ),
+        "metric_state": lambda spark, sf: state.totals(
+            incremental.state_now(spark, _after_batches(spark, sf, "metric_state"))
+        ),
         # projections and filters
         "conform_inventory": _inventory,
         "conform_shipments": _shipments,
@@ -326,6 +361,7 @@ def core_queries() -> dict[str, Query]:
         "revenue_summary": _on_facts(metrics.revenue, **no_shipment),
         "revenue_by_region": _on_facts(lambda f: metrics.revenue(f, "region"), **no_shipment),
         "revenue_by_sku": _on_facts(lambda f: metrics.revenue(f, "sku"), **no_shipment),
+        "revenue_latest_month": _latest_month,
         "revenue_distinct_orders": _on_facts(
             lambda f: metrics.revenue(f, "region", distinct_orders=True), **no_shipment
         ),
@@ -421,9 +457,9 @@ FROM (SELECT o.*, i.snapshot_ts, i.warehouse_id, i.on_hand_qty,
 WHERE rn = 1"""
 
 
-def _facts_sql(shipments: str) -> str:
+def _facts_sql(shipments: str, more: str = "") -> str:
     return f"""
-SELECT m.order_id, m.sku, m.customer_id, m.qty AS quantity, m.unit_price AS price,
+SELECT {more}m.order_id, m.sku, m.customer_id, m.qty AS quantity, m.unit_price AS price,
        m.qty * m.unit_price AS order_value, m.on_hand_qty AS inventory_at_order_time,
        m.on_hand_qty < m.qty AS stockout_flag, m.warehouse_id, m.region,
        s.delivery_status, s.carrier, s.ship_ts, s.delivered_ts
@@ -465,6 +501,20 @@ SELECT count(order_id) AS total_order_lines,
 FROM facts WHERE {supply}"""
     taken = "date_diff('microsecond', ship_ts, delivered_ts)"
     landed = {"order_lines": _LANDED_LINES}
+    totals = f"""SELECT region, sku,
+       CAST(sum(CASE WHEN {kpi} THEN order_value END) AS BIGINT) AS kpi_value,
+       count(CASE WHEN {kpi} THEN 1 END) AS kpi_lines,
+       CAST(sum(CASE WHEN stockout_flag THEN order_value END) AS BIGINT) AS risk_value,
+       count(CASE WHEN stockout_flag THEN order_id END) AS risk_orders,
+       count(CASE WHEN stockout_flag THEN 1 END) AS risk_lines,
+       count(CASE WHEN {supply} THEN 1 END) AS supply_lines,
+       count(CASE WHEN {supply} AND stockout_flag THEN 1 END) AS supply_stockouts,
+       count(CASE WHEN {supply} AND lower(delivery_status) = 'delivered' THEN 1 END) AS supply_delivered
+FROM facts GROUP BY region, sku"""
+    month = "CAST(date_trunc('month', m.order_ts) AS DATE) AS order_month, "
+
+    def by_month(body: str, **steps) -> str:
+        return _with(body, **steps, matched=_matched_sql(), facts=_facts_sql("latest_shipments", month))
 
     return {
         "scan_order_facts": over_facts("SELECT * FROM facts"),
@@ -528,17 +578,13 @@ FROM facts WHERE {kpi} GROUP BY region"""
         "risk_summary_fanout": over_facts(risk_sql, "all_shipments"),
         "supply_chain_summary": over_facts(supply_sql),
         "supply_chain_summary_fanout": over_facts(supply_sql, "all_shipments"),
-        "metric_totals": over_facts(
-            f"""SELECT region, sku,
-       CAST(sum(CASE WHEN {kpi} THEN order_value END) AS BIGINT) AS kpi_value,
-       count(CASE WHEN {kpi} THEN 1 END) AS kpi_lines,
-       CAST(sum(CASE WHEN stockout_flag THEN order_value END) AS BIGINT) AS risk_value,
-       count(CASE WHEN stockout_flag THEN order_id END) AS risk_orders,
-       count(CASE WHEN stockout_flag THEN 1 END) AS risk_lines,
-       count(CASE WHEN {supply} THEN 1 END) AS supply_lines,
-       count(CASE WHEN {supply} AND stockout_flag THEN 1 END) AS supply_stockouts,
-       count(CASE WHEN {supply} AND lower(delivery_status) = 'delivered' THEN 1 END) AS supply_delivered
-FROM facts GROUP BY region, sku"""
+        "metric_totals": over_facts(totals),
+        "metric_state": over_facts(totals, **landed),
+        "facts_by_month": by_month("SELECT * FROM facts"),
+        "facts_after_batch": by_month("SELECT * FROM facts", **landed),
+        "revenue_latest_month": by_month(
+            f"""SELECT order_month, region, {revenue} FROM facts
+WHERE {kpi} AND order_month = (SELECT max(order_month) FROM facts) GROUP BY order_month, region"""
         ),
         "revenue_card": over_facts(
             f"""SELECT CAST(sum(order_value) AS BIGINT) AS total_revenue, count(order_id) AS total_orders,

@@ -63,7 +63,10 @@ def match_inventory(
     )
 
 
-def project_facts(matched: DataFrame, shipments: DataFrame, policy: str) -> DataFrame:
+def project_facts(
+    matched: DataFrame, shipments: DataFrame, policy: str, more: Sequence[str] = ()
+) -> DataFrame:
+    """The fact columns, and any columns of the lines that are named besides."""
     return attach_shipments(matched, shipments, policy).select(
         "order_id",
         "sku",
@@ -79,6 +82,7 @@ def project_facts(matched: DataFrame, shipments: DataFrame, policy: str) -> Data
         "carrier",
         "ship_ts",
         "delivered_ts",
+        *more,
     )
 
 
