@@ -5,13 +5,13 @@ another one; overlaps count, and strings are judged on the input. Matches never
 
 1. **Positions.** Not every byte is a position. A start's anchor is the least hashed 8-byte word in the window behind it
    (the leftmost of equals), so equal strings of `length` bytes have the same anchors at the same places. Anchors cut a
-   document into phrases of about half a window; a phrase's first name is a hash of 128 bits of its bytes.
+   document into phrases of about half a window; a phrase's first name is a hash of 96 bits of its bytes.
 2. **Doubling.** A position's rank stands for the run of phrases from it on that has been compared. In every round the pairs
    (rank of the run, rank of the run behind it) are sorted and ranked anew: a pair that is unique ends its position, a run
    past `length` bytes is repeated text and rests with its rank, all others go on with runs of double length. Pairs are sorted
    within buckets of a mix of both ranks, as only equality is asked for; so pairs that share a very frequent rank are spread.
 3. **Ends.** Bytes outside whole phrases remain at the two ends of a match. Strings that hold such a byte and whose
-   phrases are all repeated, as far as the ranks tell, are compared as a whole by a hash of 128 bits, together with all
+   phrases are all repeated, as far as the ranks tell, are compared as a whole by a hash of 96 bits, together with all
    strings that could equal them: those around the same bytes behind their anchor.
 
 Positions live in blocks of about two million bytes. A block sends its distinct keys to buckets, a bucket answers each block:
@@ -137,7 +137,7 @@ class _Places:
 def _names(parts: list[memoryview]) -> tuple[np.ndarray, np.ndarray]:
     digest = xxhash.xxh3_128_digest
     both = np.frombuffer(b"".join(map(digest, parts)), ">u8").astype(np.uint64).reshape(-1, 2)
-    return both[:, 0], both[:, 1]
+    return both[:, 0], (both[:, 1] >> np.uint64(32)).astype(np.uint32)
 
 
 def _text(row) -> bytes:
@@ -236,7 +236,7 @@ def _asked(rows: DataFrame, keys_of: Callable[..., Keys], buckets: int) -> DataF
     return rows.mapInPandas(ask, "bucket long, block long, high binary, low binary, state binary")
 
 
-def _answers(asked: DataFrame, turn: int, marked_only: bool = False) -> DataFrame:
+def _answers(asked: DataFrame, turn: int, marked_only: bool = False, low_type=np.uint32) -> DataFrame:
     """(block, bucket, ranks): for each key sent 0 if it stands once in all, else its rank, the same for equal keys.
 
     With `marked_only` a key that no block marked gets 0 as well. Ranks of different turns differ.
@@ -245,7 +245,8 @@ def _answers(asked: DataFrame, turn: int, marked_only: bool = False) -> DataFram
     def sort(rows: pd.DataFrame) -> pd.DataFrame:
         sent = [unzipped(s, np.uint8) for s in rows["state"]]
         state = np.concatenate(sent)
-        high, low = (np.concatenate([unzipped(v, np.uint64) for v in rows[c]]) for c in ("high", "low"))
+        high = np.concatenate([unzipped(v, np.uint64) for v in rows["high"]])
+        low = np.concatenate([unzipped(v, low_type) for v in rows["low"]])
         _, _, n, marked, place = _distinct((high, low, state >= 2))
         again = n > 1
         again[place[state % 2 == 1]] = True
@@ -270,19 +271,22 @@ def _told(keys: Keys, answers: pd.DataFrame) -> np.ndarray:
 # Doubling
 
 
-_STATE = "block long, going long, sizes binary, phrases binary, starts binary, ranks binary, runs binary"
+_STATE = "block long, going long, ranks binary, runs binary"
 
 
 def _state_row(row, places: _Places, ranks: np.ndarray, upto: np.ndarray, length: int) -> pd.DataFrame:
-    going = int(((ranks > 0) & (places.edge(upto) - places.at < length)).sum())
+    """The block's next state. Ranks stay where a run that is still compared can reach them."""
+    going = (ranks > 0) & (places.edge(upto) - places.at < length)
+    last = np.maximum.accumulate(np.where(going, places.at, -length)) if len(going) else places.at
+    ranks = np.where(places.at - last < length, ranks, np.uint64(0))
     runs = (upto - np.arange(len(upto))).astype(np.uint32)
-    made = (row.block, going, row.sizes, row.phrases, row.starts, zipped(ranks), zipped(runs))
-    return pd.DataFrame([made], columns=[c.split()[0] for c in _STATE.split(", ")])
+    made = (row.block, int(going.sum()), zipped(ranks), zipped(runs))
+    return pd.DataFrame([made], columns=["block", "going", "ranks", "runs"])
 
 
 def _first_keys(row) -> Keys:
     high = unzipped(row.high, np.uint64)
-    return high, unzipped(row.low, np.uint64), np.zeros(len(high), bool)
+    return high, unzipped(row.low, np.uint32), np.zeros(len(high), bool)
 
 
 def _first_ranks(length: int):
@@ -335,16 +339,18 @@ def _next_ranks(length: int):
 
 
 def doubled(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
-    """For every phrase the longest repeated run from it that the doubling met: (block, sizes, phrases, starts, runs)."""
-    names = blocks.select("block", "sizes", "phrases", "starts", "high", "low")
-    asked, step, rows, turn = _asked(names.select("block", "high", "low"), _first_keys, buckets), _first_ranks, names, 0
+    """For every phrase the longest repeated run from it that the doubling met: (block, runs)."""
+    places = blocks.select("block", "sizes", "phrases", "starts")
+    rows, turn = blocks.select("block", "sizes", "phrases", "starts", "high", "low"), 0
+    asked, low_type, step = _asked(rows.select("block", "high", "low"), _first_keys, buckets), np.uint32, _first_ranks
     while True:
-        answers = written(_answers(asked, turn), f"suffix-ranks-{turn}")
-        state = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(step(length), _STATE)
-        rows = written(state, f"suffix-runs-{turn}")
-        if not rows.agg(F.sum("going")).first()[0]:
-            return rows
-        asked, step, turn = _asked(rows, _pair_request(length), buckets), _next_ranks, turn + 1
+        answers = written(_answers(asked, turn, low_type=low_type), f"suffix-ranks-{turn}")
+        made = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(step(length), _STATE)
+        state = written(made, f"suffix-runs-{turn}")
+        if not state.agg(F.sum("going")).first()[0]:
+            return state.select("block", "runs")
+        rows, turn = places.join(state.drop("going"), "block"), turn + 1
+        asked, low_type, step = _asked(rows, _pair_request(length), buckets), np.uint64, _next_ranks
 
 
 # Ends of matches
@@ -403,7 +409,7 @@ def _core_keys(row, length: int) -> tuple[Keys, np.ndarray, np.ndarray]:
     starts, first, asking = _strings(row, length)
     anchors, place = np.unique(first, return_inverse=True)
     marks = np.bincount(place, asking, minlength=len(anchors)) > 0
-    return (unzipped(row.cores, np.uint64)[anchors], np.zeros(len(anchors), np.uint64), marks), starts, place
+    return (unzipped(row.cores, np.uint64)[anchors], np.zeros(len(anchors), np.uint32), marks), starts, place
 
 
 def _core_request(length: int):
@@ -462,7 +468,7 @@ def without_repeats(docs: DataFrame, id_col="doc_id", text_col="text", length: i
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / BUCKET_KEYS))
     runs = doubled(blocks, length, buckets)
 
-    placed = runs.drop("ranks", "going").join(blocks.select("block", "before", "cores"), "block")
+    placed = runs.join(blocks.select("block", "sizes", "phrases", "starts", "before", "cores"), "block")
     asked = _answers(_asked(placed, _core_request(length), buckets), 0, marked_only=True)
     chosen = placed.groupBy("block").cogroup(asked.groupBy("block"))
     strings = written(chosen.applyInPandas(_to_compare(length), "block long, flips binary, strings binary"), "suffix-strings")
