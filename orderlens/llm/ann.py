@@ -248,7 +248,8 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_col="vec_id", vect
     rows = usable(vectors, id_col, vector_col)
     n = rows.count()
     index = build(rows, n)
-    asked = rows.filter(is_query).dropDuplicates(["vec_id"])
+    # Of rows that repeat a query id, the vector that is first in order asks.
+    asked = rows.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     placed = written(_routed(rows, index, 1), "ann-rows")
     probing = written(_routed(asked, index, index.probes if index else 1), "ann-queries")
     parts = index.parts if index else 1

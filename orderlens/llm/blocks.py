@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import from_planes, planes
+from .common import from_planes, planes, sparing
 
 # Tokens of a block, and of a bucket on average: two tasks of an executor hold one each.
 BLOCK_TOKENS = 1 << 19
@@ -96,7 +96,7 @@ def build(docs: DataFrame, id_col: str, text_col: str, kind: str) -> DataFrame:
         for kind in sorted(open_blocks):
             yield closed(kind)
 
-    return source.mapInArrow(read, schema)
+    return source.mapInArrow(sparing(read), schema)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -173,7 +173,7 @@ def requests(blocks: DataFrame, keys_of, buckets: int) -> DataFrame:
                 ]
                 yield pd.DataFrame(rows, columns=["bucket", "block", "kind", "keys", "counts"])
 
-    return blocks.select("block", "kind", "stops", "words", "tokens").mapInPandas(ask, schema)
+    return blocks.select("block", "kind", "stops", "words", "tokens").mapInPandas(sparing(ask), schema)
 
 
 def sent_keys(data: bytes) -> np.ndarray:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
+import types
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlens.sources import shared_dir
@@ -52,3 +58,55 @@ def from_planes(data: bytes, dtype) -> np.ndarray:
     kind = np.dtype(dtype)
     flat = np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1)
     return np.ascontiguousarray(flat.T).view(kind).reshape(-1)
+
+
+def give_back() -> None:
+    """Hands memory that is not in use back to the system: worker processes stay for later tasks, and keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def sparing(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same work on batches, which hands its memory back when a task ends."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def sparing_group(work: Callable):
+    """The same work on one group, which hands its memory back when it is done."""
+
+    def run(rows):
+        try:
+            return work(rows)
+        finally:
+            give_back()
+
+    return run
+
+
+def sparing_pair(work: Callable):
+    """The same work on two co-grouped frames, which hands its memory back when it is done."""
+
+    def run(left, right):
+        try:
+            return work(left, right)
+        finally:
+            give_back()
+
+    return run
+
+
+def of_process(name: str, make: Callable[[], object]):
+    """One object for all tasks of a worker process. This package is shipped with each task, so its own globals are new each time."""
+    held = sys.modules.setdefault("orderlens_process", types.ModuleType("orderlens_process")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]

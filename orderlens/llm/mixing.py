@@ -103,46 +103,47 @@ def mix(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
             F.col("__source").alias("__key"),
             "source_size",
             "target",
-            "epochs",
-            F.coalesce("cut", F.lit("")).alias("cut"),
-            F.coalesce("left", F.lit(0)).alias("left"),
+            F.col("epochs").alias("__epochs"),
+            F.coalesce("cut", F.lit("")).alias("__cut"),
+            F.coalesce("left", F.lit(0)).alias("__left"),
         ),
         "mixing-cuts",
     )
     joined = rows.join(steer, F.expr("__source <=> __key"))
-    clear = joined.filter("__bucket <> cut").withColumn(
-        "__extra", F.when(F.expr("__bucket < cut"), F.col("size")).otherwise(F.lit(0))
+    clear = joined.filter("__bucket <> __cut").withColumn(
+        "__extra", F.when(F.expr("__bucket < __cut"), F.col("size")).otherwise(F.lit(0))
     )
     order = Window.partitionBy("__source").orderBy("__order", id_col, "size").rowsBetween(Window.unboundedPreceding, 0)
     ending = (
-        joined.filter("__bucket = cut")
+        joined.filter("__bucket = __cut")
         .withColumn("__until", F.sum("size").over(order))
-        .withColumn("__extra", F.greatest(F.lit(0), F.least("size", F.expr("left - (__until - size)"))))
+        .withColumn("__extra", F.greatest(F.lit(0), F.least("size", F.expr("__left - (__until - size)"))))
         .drop("__until")
     )
     return (
         clear.unionByName(ending)
-        .withColumns({"taken": F.expr("epochs * size + __extra")})
-        .drop("__key", "cut", "left", "__bucket", "__order")
+        .withColumns({"taken": F.expr("__epochs * size + __extra")})
+        .drop("__key", "__cut", "__left", "__bucket", "__order")
     )
 
 
 def sample(docs: DataFrame) -> DataFrame:
     """The mix itself: documents repeated as taken, the one that ends a source's fraction cut to its words."""
-    given = {c: f"__given_{c}" for c in ("size", "source_size", "target", "taken", "epochs") if c in docs.columns}
-    mixed = mix(prepared(docs.withColumnsRenamed(given)))
+    names = docs.columns
+    carried = docs.select(*[F.col(f"`{c}`").alias(f"__carried_{k}") for k, c in enumerate(names)], "doc_id", "text", "source")
+    mixed = mix(prepared(carried))
     pieces = F.regexp_extract_all("text", F.lit(f"[{SPACES}]*{WORD}"), F.lit(0))
     part = F.when(
         (F.col("__extra") > 0) & (F.col("__extra") < F.col("size")),
         F.array_join(F.slice(pieces, 1, F.col("__extra").cast("int")), ""),
     ).otherwise(F.col("text"))
-    whole = F.array_repeat(F.col("text"), F.col("epochs").cast("int"))
+    whole = F.array_repeat(F.col("text"), F.col("__epochs").cast("int"))
     copies = F.concat(whole, F.when(F.col("__extra") > 0, F.array(part)).otherwise(F.expr("array()")))
-    text = F.col("__copy")
-    out = mixed.withColumn("__copy", F.explode(copies)).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*(F.col(given.get(c, c)).alias(c) for c in docs.columns))
+    made = {"text": F.col("__copy")}
+    if "n_chars" in names:
+        made["n_chars"] = F.char_length("__copy").cast(docs.schema["n_chars"].dataType)
+    out = mixed.withColumn("__copy", F.explode(copies))
+    return out.select(*(made.get(c, F.col(f"__carried_{k}")).alias(c) for k, c in enumerate(names)))
 
 
 def oracle_sql() -> str:

@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from . import blocks as bk
-from .common import from_planes, written
+from .common import from_planes, sparing, sparing_group, sparing_pair, written
 from .components import components
 
 SHINGLE = 5
@@ -85,7 +85,7 @@ def _frequencies(asked: DataFrame) -> DataFrame:
         found = [bk.zipped(part) for part in np.split(totals, np.cumsum([len(k) for k in keys])[:-1])]
         return pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "counts": found})
 
-    return asked.groupBy("bucket").applyInPandas(total, "block long, bucket long, counts binary")
+    return asked.groupBy("bucket").applyInPandas(sparing_group(total), "block long, bucket long, counts binary")
 
 
 def signatures(blocks: DataFrame, frequencies: DataFrame, size: int) -> DataFrame:
@@ -125,7 +125,7 @@ def signatures(blocks: DataFrame, frequencies: DataFrame, size: int) -> DataFram
     return (
         blocks.groupBy("block")
         .cogroup(frequencies.groupBy("block"))
-        .applyInPandas(sign, "id string, n long, digest binary, keys array<long>, prefix int")
+        .applyInPandas(sparing_pair(sign), "id string, n long, digest binary, keys array<long>, prefix int")
     )
 
 
@@ -172,7 +172,7 @@ def prefix_entries(sets: DataFrame) -> DataFrame:
             for start in range(0, batch.num_rows, SETS_AT_ONCE):
                 yield entries(batch.slice(start, SETS_AT_ONCE))
 
-    return columns.mapInArrow(spread, _ENTRY)
+    return columns.mapInArrow(sparing(spread), _ENTRY)
 
 
 # The least overlap of two linked sets: ceil((x + y) * t / (1 + t)).
@@ -291,12 +291,24 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size: int
     return alone.select(*columns).unionByName(linked.select(*columns))
 
 
+def _row_key(doc_id: Column, text: Column) -> Column:
+    """A row's id and text as one text that sorts by id first; null without an id. Equal keys: equal rows to the join."""
+    place = F.lpad((doc_id.cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)")).cast("string"), 20, "0")
+    return F.concat(place, F.lit(":"), F.coalesce(F.hex(F.xxhash64(text)), F.lit("-")))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without those that have a linked document with a smaller id; of rows that repeat an id, one."""
-    judged = written(near_duplicates(docs), "join-judged")
-    gone = judged.filter("doc_id <> component_id").select("doc_id").distinct()
-    repeated = judged.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    """The documents, of each group of linked ones only that with the smallest id.
+
+    Rows are told apart by id and text: of rows with one id and different texts each is judged by its own text, and of
+    linked ones among them one stays. Rows that repeat id and text are one. Rows without an id are linked with nothing.
+    """
+    names, key = docs.columns, _row_key(F.col("doc_id"), F.col("text"))
+    judged = written(near_duplicates(docs.select(key.alias("__row"), "text"), "__row"), "join-judged")
+    gone = judged.filter("__row <> component_id").select("__row").distinct()
+    repeated = judged.filter("__row = component_id").groupBy("__row").count().filter("count > 1").select("__row")
     gone, repeated = written(gone, "join-gone"), written(repeated, "join-repeated")
-    single = docs.join(gone.unionByName(repeated), "doc_id", "left_anti")
-    again = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(again).select(*docs.columns)
+    rows = docs.select(key.alias("__row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("__doc"))
+    single = rows.join(gone.unionByName(repeated), "__row", "left_anti")
+    again = rows.join(repeated, "__row", "left_semi").dropDuplicates(["__row"])
+    return single.unionByName(again).select("__doc.*")

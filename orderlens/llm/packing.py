@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from .common import written
+from .common import of_process, sparing, written
 
 WINDOW = 2048
 END_ID = 1
 
-# Words of a batch that are turned into ids together, words remembered by a task, words encoded as one text.
-GROUP_WORDS, MEMO_WORDS, JOINED_WORDS = 100_000, 600_000, 1000
+# Words that are turned into ids together, words remembered by a process (half of them stay when there are more), and
+# words encoded as one text.
+GROUP_WORDS, MEMO_WORDS, JOINED_WORDS = 100_000, 500_000, 1000
 # Documents of a batch that are texts in memory at a time.
 ROWS_AT_ONCE = 500
 STOPS = (b".", b",")
@@ -88,6 +89,19 @@ class Encoder:
         self.known = _Numbers()
         # The row before all words is the end id.
         self.table = _Table(np.array([END_ID], np.uint32), np.array([1], np.int64))
+        self.uses = np.zeros(1, np.int64)
+
+    def _cool(self) -> None:
+        """Forgets the words that were used least, later ones first among equals; the others count half from now on."""
+        order = np.argsort(-self.uses[1:], kind="stable")[: MEMO_WORDS // 2] + 1
+        warm = np.sort(order)
+        words = list(self.known)
+        self.known = _Numbers()
+        for k in (warm - 1).tolist():
+            self.known[words[k]] = len(self.known)
+        ids, upto = self.table.rows(np.append(0, warm))
+        self.table = _Table(ids, np.diff(upto, prepend=0))
+        self.uses = np.append(0, self.uses[warm] // 2)
 
     def _encoded(self, words: list[bytes]) -> _Table:
         """Ids of words, many joined by blanks in a text and told apart by the places of their tokens."""
@@ -127,8 +141,11 @@ class Encoder:
         if self.known.new:
             self._learn()
         ids, upto = self.table.rows(index)
+        self.uses = np.bincount(index, minlength=len(self.table.lengths)) + np.pad(
+            self.uses, (0, len(self.table.lengths) - len(self.uses))
+        )
         if len(self.known) > MEMO_WORDS:
-            self.clear()
+            self._cool()
         return np.split(ids, upto[np.cumsum([len(w) + 1 for w in docs]) - 1][:-1])
 
     def texts(self, texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -162,7 +179,7 @@ def pieces(
     arrow = to_arrow_schema(schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = of_process(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
         for batch in (b.slice(k, ROWS_AT_ONCE) for b in batches for k in range(0, b.num_rows, ROWS_AT_ONCE)):
             rows: list[list] = [[] for _ in fields]
             names = batch.column(0)
@@ -178,7 +195,7 @@ def pieces(
             columns += [pa.array(v, f.type) for v, f in zip(rows[1:], list(arrow)[1:])]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return source.mapInArrow(cut, schema)
+    return source.mapInArrow(sparing(cut), schema)
 
 
 def fill(rest: int, counts: list[tuple[int, int]]) -> dict[int, int]:
@@ -266,7 +283,7 @@ def pack(made: DataFrame, id_col="doc_id", window: int = WINDOW) -> DataFrame:
             columns = [c.cast(arrow.field(i).type) for i, c in enumerate(batch.columns[:-1])]
             yield pa.RecordBatch.from_arrays(columns + placed, schema=arrow)
 
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(sparing(place), schema)
 
 
 def sequences(packed: DataFrame, id_col="doc_id", window: int = WINDOW, pad_id: int = 0) -> DataFrame:

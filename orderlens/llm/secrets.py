@@ -2,7 +2,12 @@
 
 Three fixed patterns find what looks like a secret anywhere (`assign`, `access`, `hex`). On top of them the text is
 read as source code or configuration: name-literal pairs are parsed, constants are propagated through names and
-concatenations, and a literal is scored by the names it ends up under (`literal`).
+concatenations, and a literal is scored by the names it ends up under (`literal`). Pairs are assignments and entries,
+the first argument of a call, command-line options, the value behind an authorisation scheme, and the text of an element.
+
+A name stands for its last definition before it, or else for its first one behind. An expression goes on over a line end
+behind a `+` or a backslash, inside a bracket that it began with, and to a string that is indented deeper than the line it
+began on; it never takes a string that is itself a name.
 
 Null or empty text: no span. Texts are read whole; every step is linear in the text. Repeated rows give repeated
 results. Other columns pass through; a column named like the result is replaced.
@@ -23,6 +28,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .common import sparing
+
 # The kinds in their order, and the base patterns with the shortest accepted length.
 KINDS = ("assign", "access", "hex", "literal")
 ASSIGN = re.compile(
@@ -61,7 +68,17 @@ _STRING = re.compile(
 _BARE = re.compile(r"""[^\s,;'"`(){}\[\]<>]+""")
 _CLASSES = [re.compile(c) for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9\\s]")]
 _CONSTANT = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*")
-_JOIN = re.compile(r"[ \t]*(?:\\\n[ \t]*)?(?P<plus>\+)?[ \t]*(?:\\?\n[ \t]*)?")
+_JOIN = re.compile(r"[ \t]*+(?:\\\n[ \t]*+)?(?P<plus>\+)?[ \t]*+(?P<end>(?P<back>\\)?\n[\s]*+)?")
+_NEXT_PLUS = re.compile(r"\+[ \t]*+")
+_IS_NAME = re.compile(r"[ \t]*+\]?[ \t]*+(?::(?!:)|=(?![=>])|=>)")
+_BRACKET = re.compile(r"\(\s*+")
+_INDENT = re.compile(r"[ \t]*+")
+_CALL = re.compile(r"""(?<![A-Za-z0-9_$])(?P<name>[A-Za-z_][A-Za-z0-9_]*+)\([ \t]*+(?=[rbuRBU]{0,2}["'])""")
+_OPTION = re.compile(r"(?<![A-Za-z0-9_$.-])--?(?P<name>[A-Za-z][A-Za-z0-9_-]*+)(?:=|[ \t]++(?!-))")
+_SCHEME = re.compile(r"(?<![A-Za-z0-9_])(?:[Bb]earer|[Bb]asic|[Tt]oken)[ \t]++(?P<value>[A-Za-z0-9+/_.=~-]{16,}+)")
+_ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)(?:[ \t][^<>]*+)?>\s*+(?P<value>[^<>\s](?:[^<>]*[^<>\s])?)\s*+</(?P=name)>")
+# Calls that hand a secret out or look at it say nothing of their argument.
+GETTERS = frozenset(("get", "fetch", "read", "load", "find", "lookup", "check", "has", "is", "env", "getenv", "require", "print", "log"))
 
 
 class Span(NamedTuple):
@@ -121,15 +138,22 @@ def _together(a: Value, b: Value) -> Value:
     )
 
 
+NOTHING = Value(0, "", {}, frozenset(), False, False)
+# Characters of a passphrase, words in one letter case.
+PHRASE = 20
+
+
 def literal_score(value: Value) -> float:
-    """0 for what can't be a secret, rising to 1 with the bits that the characters carry."""
+    """0 for what can't be a secret, rising to 1 with the bits that the characters carry; half of that for a passphrase."""
     if value.length < 6 or value.head[0] in "$<{%" or "://" in value.head:
         return 0.0
     if value.length <= HEAD and value.head.lower() in PLACEHOLDERS:
         return 0.0
-    if len(value.classes) < 2 and not (value.quoted and value.length >= 12 and not value.spaced):
+    phrase = value.quoted and value.spaced and value.length >= PHRASE
+    if len(value.classes) < 2 and not phrase and not (value.quoted and value.length >= 12 and not value.spaced):
         return 0.0
-    return 1.0 if value.counts is None else min(1.0, _bits(value.counts) / FULL_BITS)
+    bits = 1.0 if value.counts is None else min(1.0, _bits(value.counts) / FULL_BITS)
+    return bits / 2 if phrase and len(value.classes) < 2 else bits
 
 
 def base_spans(text: str) -> list[Span]:
@@ -145,36 +169,62 @@ def base_spans(text: str) -> list[Span]:
 class _Lexer:
     """The expressions of a text as nodes: a piece of the text, and the nodes joined to it behind.
 
-    A node stands behind those it holds, and a constant is held, not copied, so names that double each other and long
-    chains of names stay linear. Neighbouring strings are one chain from each of their places, read once.
+    A constant is held, not copied, so names that double each other and long chains of names stay linear. A name that is not
+    known yet is a node of its own and holds its definition once that is met. Neighbouring strings are one chain from each of
+    their places, read once for each indentation.
     """
 
     def __init__(self, text: str):
         self.text = text
-        self.nodes: list[tuple[tuple[int, int] | None, tuple[int, ...], bool]] = []
-        self.chains: dict[int, tuple[int, int | None]] = {}
+        self.nodes: list[list] = []  # piece, held nodes, quoted
+        self.chains: dict[tuple, tuple[int | None, int | None]] = {}
         self.run = (0, 0)
+        self.line = self.seen = 0
+        self.constants: dict[str, int] = {}
+        self.waiting: dict[str, list[int]] = {}
 
     def node(self, piece, held, quoted=False) -> int:
-        self.nodes.append((piece, held, quoted))
+        self.nodes.append([piece, held, quoted])
         return len(self.nodes) - 1
 
-    def follows(self, at: int) -> int | None:
-        """The place of the next term behind one that ends here."""
+    def define(self, name: str, node: int) -> None:
+        if name not in self.constants:
+            for early in self.waiting.pop(name, ()):
+                self.nodes[early][:2] = None, (node,)
+        self.constants[name] = node
+
+    def indent(self, at: int) -> int:
+        """The indentation of the line that a place is on; places come in the order of the text."""
+        self.line = max(self.line, self.text.rfind("\n", self.seen, at) + 1)
+        self.seen = at
+        return _INDENT.match(self.text, self.line).end() - self.line
+
+    def follows(self, at: int, deeper: int | None) -> int | None:
+        """The place of the next term behind one that ends here; `deeper` is the indentation to pass, or None in a bracket."""
         glue = _JOIN.match(self.text, at)
-        return glue.end() if glue["plus"] or _STRING.match(self.text, glue.end()) else None
+        place = glue.end()
+        if glue["plus"]:
+            return place
+        if glue["end"] and not glue["back"]:
+            shift = len(glue[0]) - (glue[0].rfind("\n") + 1)
+            if deeper is not None and shift <= deeper:
+                return None
+            if plus := _NEXT_PLUS.match(self.text, place):
+                return plus.end()
+        m = _STRING.match(self.text, place)
+        return place if m and not _IS_NAME.match(self.text, m.end()) else None
 
-    def strings(self, at: int) -> tuple[int, int | None] | None:
+    def strings(self, at: int, deeper: int | None) -> tuple[int | None, int | None] | None:
         """The strings joined from a place on, and the place of a term behind them that is none."""
         read, place = [], at
-        while place is not None and place not in self.chains and (m := _STRING.match(self.text, place)):
+        while place is not None and (place, deeper) not in self.chains and (m := _STRING.match(self.text, place)):
             read.append((place, m.span(m.lastgroup)))
-            place = self.follows(m.end())
-        known, after = self.chains.get(place, (None, place))
+            place = self.follows(m.end(), deeper)
+        known, after = self.chains.get((place, deeper), (None, place))
         for start, piece in reversed(read):
             known = self.node(piece, () if known is None else (known,), True)
-            self.chains[start] = known, after
-        return self.chains.get(at)
+            self.chains[start, deeper] = known, after
+        return self.chains.get((at, deeper))
 
     def bare(self, at: int) -> int | None:
         """The end of the bare word at a place. Words may be pairs again, as in a:b:c, so the last end is held."""
@@ -185,68 +235,119 @@ class _Lexer:
             self.run = m.span()
         return self.run[1]
 
-    def expression(self, at: int | None, constants: dict[str, int]) -> int | None:
-        """The node of the expression at a place."""
-        held = []
+    def expression(self, at: int | None, began: int) -> int | None:
+        """The node of the expression at a place, behind a name at `began`."""
+        deeper, held, alone = self.indent(began), [], None
+        if self.text.startswith("(", at):
+            deeper, at = None, _BRACKET.match(self.text, at).end()
         while at is not None:
-            if chain := self.strings(at):
+            if chain := self.strings(at, deeper):
                 held.append(chain[0])
                 at = chain[1]
             elif end := self.bare(at):
                 m = _CONSTANT.match(self.text, at)
-                if m and m.end() == end and m[0] in constants:
-                    held.append(constants[m[0]])
-                    at = self.follows(end)
-                elif held:
+                if not m or m.end() < end:
+                    if not held:
+                        return self.node((at, end), ())
                     break
+                if m[0] in self.constants:
+                    held.append(self.constants[m[0]])
                 else:
-                    return self.node((at, end), ())
+                    alone = self.node((at, end), ())
+                    self.waiting.setdefault(m[0], []).append(alone)
+                    held.append(alone)
+                at = self.follows(end, deeper)
             else:
                 break
         if len(held) < 2:
             return held[0] if held else None
         return self.node(None, tuple(held))
 
-    def values(self, wanted: set[int]) -> dict[int, Value]:
-        """The values of the wanted nodes and of all that they hold."""
-        needed = [False] * len(self.nodes)
-        for i in range(len(self.nodes) - 1, -1, -1):
-            if needed[i] or i in wanted:
-                needed[i] = True
-                for j in self.nodes[i][1]:
-                    needed[j] = True
+    def settle(self, lone: set[int]) -> None:
+        """Names that were never defined are bare words where they stand alone, and nothing among other terms."""
+        for nodes in self.waiting.values():
+            for i in nodes:
+                if i not in lone:
+                    self.nodes[i][0] = None
+
+    def order(self, wanted: set[int]) -> tuple[list[int], dict[int, list[int]]]:
+        """The wanted nodes and all that they hold, each behind those it holds, and what each holds but for circles."""
+        state: dict[int, int] = {}
+        done: list[int] = []
+        held: dict[int, list[int]] = {}
+        for root in sorted(wanted):
+            stack = [(root, 0)] if root not in state else []
+            while stack:
+                i, k = stack.pop()
+                if k == 0:
+                    state[i], held[i] = 1, []
+                rest = self.nodes[i][1]
+                while k < len(rest) and state.get(rest[k]) is not None:
+                    if state[rest[k]] == 2:
+                        held[i].append(rest[k])
+                    k += 1
+                if k < len(rest):
+                    held[i].append(rest[k])
+                    stack += [(i, k + 1), (rest[k], 0)]
+                else:
+                    state[i] = 2
+                    done.append(i)
+        return done, held
+
+    def values(self, order: list[int], holds: dict[int, list[int]]) -> dict[int, Value]:
         found: dict[int, Value] = {}
-        for i, (piece, held, quoted) in enumerate(self.nodes):
-            if needed[i]:
-                parts = [found[j] for j in held]
-                if piece:
-                    parts.insert(0, _value(self.text, *piece, quoted))
-                found[i] = reduce(_together, parts)
+        for i in order:
+            piece, _, quoted = self.nodes[i]
+            parts = [found[j] for j in holds[i]]
+            if piece:
+                parts.insert(0, _value(self.text, *piece, quoted))
+            found[i] = reduce(_together, parts) if parts else NOTHING
         return found
 
 
+def _pairs(text: str) -> Iterator[tuple[int, int, str, float, bool]]:
+    """(begin, place of the value, name, score, whether it defines the name) in the order of the text."""
+    found = [(m.start(), m.end(), m["name"], name_score(m["name"]), True) for m in _PAIR.finditer(text)]
+    for m in _CALL.finditer(text) if "(" in text else ():
+        if not GETTERS & {w.lower() for w in _NAME_WORD.findall(m["name"])}:
+            found.append((m.start(), m.end(), m["name"], name_score(m["name"]), False))
+    if "-" in text:
+        found += [(m.start(), m.end(), m["name"], name_score(m["name"]), False) for m in _OPTION.finditer(text)]
+    return iter(sorted(found))
+
+
 def literal_spans(text: str) -> list[Span]:
     """Literals that reach a sensitive name, directly or through constants."""
-    lexer, constants, sensitive = _Lexer(text), {}, {}
-    for m in _PAIR.finditer(text):
-        node = lexer.expression(m.end(), constants)
+    lexer, sensitive, lone = _Lexer(text), {}, set()
+    for begin, at, name, score, defines in _pairs(text):
+        if not defines and score <= 0:
+            continue
+        node = lexer.expression(at, begin)
         if node is None:
             continue
-        constants[m["name"]] = node
-        score = name_score(m["name"])
+        lone.add(node)
+        if defines:
+            lexer.define(name, node)
         if score > 0:
             sensitive[node] = max(score, sensitive.get(node, 0.0))
+    lexer.settle(lone)
+    schemes = _SCHEME.finditer(text) if any(w in text for w in ("earer", "asic", "oken")) else ()
+    for m in (*schemes, *(_ELEMENT.finditer(text) if "</" in text else ())):
+        score = name_score(m["name"]) if "name" in m.re.groupindex else 1.0
+        if score > 0:
+            sensitive[lexer.node(m.span("value"), (), "name" in m.re.groupindex)] = score
     if not sensitive:
         return []
-    values = lexer.values(set(sensitive))
+    order, holds = lexer.order(set(sensitive))
+    values = lexer.values(order, holds)
     reached = {i: score for i, s in sensitive.items() if (score := s * literal_score(values[i])) >= SCORE}
     found: dict[tuple[int, int], float] = {}
-    for i in range(len(lexer.nodes) - 1, -1, -1):
+    for i in reversed(order):
         if i in reached:
-            piece, held, _ = lexer.nodes[i]
+            piece = lexer.nodes[i][0]
             if piece and piece[0] < piece[1]:
                 found[piece] = max(reached[i], found.get(piece, 0.0))
-            for j in held:
+            for j in holds[i]:
                 reached[j] = max(reached[i], reached.get(j, 0.0))
     return [Span("literal", *piece, score) for piece, score in found.items()]
 
@@ -307,7 +408,7 @@ def find_secrets(docs: DataFrame, keep: list[str], text_col: str = "text") -> Da
                 columns + [pa.array(found, arrow.field(len(keep)).type)], schema=arrow
             )
 
-    return source.mapInArrow(scan, result)
+    return source.mapInArrow(sparing(scan), result)
 
 
 def _spans_type():
@@ -328,7 +429,7 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[secret]") -> D
             columns[at] = pa.array([redacted(t, mask) for t in batch.column(at).to_pylist()], arrow.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return docs.mapInArrow(clean, schema)
+    return docs.mapInArrow(sparing(clean), schema)
 
 
 def joined(spans_col: Column) -> Column:

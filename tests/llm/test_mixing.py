@@ -59,3 +59,12 @@ def test_empty_and_wordless_tables(spark):
     assert mixed(docs_table(spark, [])).count() == 0
     got = mixed(docs_table(spark, [(1, None, "en", None), (2, " ", "en", "a")])).collect()
     assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2
+
+
+def test_columns_with_clashing_names(spark):
+    table = docs_table(spark, [(i, f"one two three {i}", "en", f"s{i % 3}") for i in range(30)])
+    names = ("left", "cut", "epochs", "missing", "words", "next", "before", "__epochs", "__left", "__carried_1", "taken", "target")
+    odd = table.withColumns({c: table.text for c in names})
+    got = mixing.sample(odd)
+    assert got.columns == odd.columns
+    assert sorted(r.text for r in got.collect()) == sorted(r.text for r in mixing.sample(table).collect())

@@ -156,3 +156,12 @@ def test_components(spark, seed):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_of_each_judges_every_text_of_an_id(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, d), (7, d), (9, None), (None, a), (-4, d + " more")]
+    table = docs_table(spark, [(i, t, "en", "s") for i, t in rows])
+    got = sorted(((r.doc_id, r.text) for r in ngram_join.one_of_each(table).collect()), key=repr)
+    assert got == sorted([(1, a), (5, b), (7, c), (-4, d + " more"), (9, None), (None, a)], key=repr)
+    assert ngram_join.one_of_each(table).columns == table.columns

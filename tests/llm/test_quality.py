@@ -70,3 +70,69 @@ def test_empty_table(spark):
     empty = docs_table(spark, [])
     assert quality.judge(empty).count() == 0
     assert quality.kept(empty).count() == 0
+
+
+def pairs_shuffled(n):
+    """Lines of two words, each line twice, so far apart that no three words come again."""
+    lines = [f"left{k:02d} more{k:02d}" for k in range(n)]
+    return "\n".join(lines + lines[::2] + lines[1::2])
+
+
+# Texts that pass the base rules, and all fences but one.
+ONLY = {
+    "mean_chars_low": " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}"[: 1 + k % 2] for k in range(52)),
+    "mean_chars_high": " ".join(f"w{k:059d}" for k in range(60)),
+    "symbols_high": " ".join(w[:-1] + "#" if k % 2 else w for k, w in enumerate(prose(11).split())),
+    "dup_lines_high": pairs_shuffled(60),
+    "repeats_high": " ".join([prose(13, 60), prose(14, 30), prose(15, 30), prose(16, 80), prose(14, 30), prose(17, 5), prose(15, 30)]),
+}
+
+
+def test_each_fence_alone_rejects(spark):
+    rows = [(i, "\n".join(prose(i + 3000 * j, 12) for j in range(5)), "en", f"s{i % 2}") for i in range(400)]
+    rows += [(1000 + k, t, "en", "s0") for k, t in enumerate(ONLY.values())]
+    measures = quality.measured(docs_table(spark, rows).drop("kept", "size"))
+    limits = quality.fences(measures)
+    one = {r["__source"]: r for r in limits.collect()}["s0"]
+    found = {r.doc_id: r for r in measures.filter("doc_id >= 1000").select("*", *(v.alias(f"__{k}") for k, v in quality._ratios().items())).collect()}
+    for k, name in enumerate(ONLY):
+        r = found[1000 + k]
+        fired = set()
+        for f in quality.FENCES:
+            count, scale, per = quality.RATIOS[f.measure]
+            if f.low and r[f"__{f.measure}"] < one[f"{f.measure}_low"]:
+                fired.add(f"{f.measure}_low")
+            if (r[count] - f.free) * scale >= (one[f"{f.measure}_high"] + 1) * max(r[per], 1):
+                fired.add(f"{f.measure}_high")
+        assert fired == {name}, (name, fired)
+    judged = {r.doc_id: r for r in quality.judge(docs_table(spark, rows)).collect()}
+    assert [judged[1000 + k].base_failed for k in range(5)] == [False] * 5
+    assert [judged[1000 + k].kept for k in range(5)] == [False] * 5
+    assert all(judged[i].kept for i in range(400))
+
+
+def test_limits_follow_the_source(spark):
+    """What is usual in one source is an outlier in another."""
+    rows = [(i, prose(i) + " #" * 20, "en", "code") for i in range(400)] + [(500 + i, prose(i), "en", "prose") for i in range(400)]
+    rows += [(2000, prose(7) + " #" * 20, "en", "prose")]
+    judged = {r.doc_id: r.kept for r in quality.judge(docs_table(spark, rows)).collect()}
+    assert judged[3] and not judged[2000]
+
+
+def test_no_size_is_a_switch(spark):
+    """Limits move by steps of rounding as documents are added one by one."""
+    base = [(i, prose(i), "en", "large") for i in range(300)]
+    highs = []
+    for n in (195, 199, 200, 201, 205):
+        rows = base + [(1000 + i, prose(i) + " #" * 10, "en", "small") for i in range(n)]
+        found = quality.fences(quality.measured(docs_table(spark, rows).drop("kept", "size")))
+        highs.append({r["__source"]: r.symbols_high for r in found.collect()}["small"])
+    assert max(highs) - min(highs) <= 0.05 * max(highs)
+
+
+def test_columns_with_clashing_names(spark):
+    table = docs_table(spark, rows()[:40])
+    odd = table.withColumns({c: table.text for c in ("__lang", "__source", "symbols_high", "n_lines", "measure", "__carried_0", "total")})
+    assert quality.kept(odd).columns == odd.columns
+    assert quality.kept(odd).count() == quality.kept(table).count()
+    assert quality.judge(odd).filter("kept").count() == quality.judge(table).filter("kept").count()

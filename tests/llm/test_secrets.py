@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -67,6 +68,31 @@ def test_base_spans(text):
         ('pwd = "changeme"', []),
         ('pwd = "${DB_PWD}"', []),
         ("the pwd: something", []),
+        (f'"api_pwd": "{A_SECRET}"\n"name": "bob the builder"', [A_SECRET]),
+        (f'db_pwd = "{A_SECRET}"\n"""Connection helpers for the app."""', [A_SECRET]),
+        (f'{{"db_pwd": "{A_SECRET}", "b": "other text"}}', [A_SECRET]),
+        (f'  db_pwd = "{A_SECRET}"\n  "same depth 1"\n    "deeper 1"', [A_SECRET]),
+        (f'pwd = (\n"{A_SECRET}"\n"tail99"\n)\nname = "x"', [A_SECRET, "tail99"]),
+        (f'pwd = "{A_SECRET}" \\\n"tail99"', [A_SECRET, "tail99"]),
+        (f'pwd = "{A_SECRET}" +\n"tail99"', [A_SECRET, "tail99"]),
+        (f'pwd = "{A_SECRET}"\n    + "tail99"', [A_SECRET, "tail99"]),
+        (f'api_pwd = KEY\nKEY = "{A_SECRET}"', [A_SECRET]),
+        (f'pwd = A1\nA1 = B1 + "x9"\nB1 = C1\nC1 = "{A_SECRET}"', ["x9", A_SECRET]),
+        (f'part = "{A_SECRET}"\npwd = part\npart = "other1"', [A_SECRET]),
+        ('a = b\nb = a\npwd = a', []),
+        (f'pwd = unknown + "{A_SECRET}"', [A_SECRET]),
+        (f'set_pwd("{A_SECRET}")', [A_SECRET]),
+        (f"client.withCredential( '{A_SECRET}' )", [A_SECRET]),
+        (f'set_password("{A_SECRET}")', [A_SECRET]),
+        (f'get_password("{A_SECRET}")', []),
+        (f'tool --db-pwd {A_SECRET} --verbose', [A_SECRET]),
+        (f'tool --db-pwd="{A_SECRET}"', [A_SECRET]),
+        ("tool --pwd --verbose1Q", []),
+        (f'Authorization: Bearer {A_SECRET}{A_SECRET}', [A_SECRET * 2]),
+        ("the bearer responsibilities", []),
+        (f'<db><pwd kind="x"> {A_SECRET} </pwd><name>{A_SECRET}</name></db>', [A_SECRET]),
+        ('passphrase = "correct horse battery staple"', ["correct horse battery staple"]),
+        ('auth = "a sentence of plain words"', []),
         (f'password = "{A_SECRET}"', []),  # the base span holds it
     ],
 )
@@ -164,3 +190,74 @@ def test_names_and_annotations_of_any_length():
 @pytest.mark.parametrize("unit", ["a", "a.", "a:", '"a', "a ", "a: ", "a\t]"])
 def test_long_names_stay_linear(unit):
     secrets.spans(unit * 200_000)
+
+
+class Source:
+    """Assignments made at random, their text, and what a plain recursion over them finds."""
+
+    def __init__(self, seed):
+        pick = random.Random(seed)
+        names = ["db_pwd", "colour", "auth_key", "part", "head", "pwd_file", "client_credential", "tail", "salt"]
+        made = [f"{n}{k}" for n in names for k in "AB"]
+        order = made * 2
+        pick.shuffle(order)
+        self.rows, self.text = [], ""
+        for line, name in enumerate(order[: pick.randint(3, 20)]):
+            terms = []
+            for _ in range(pick.randint(1, 3)):
+                # Names refer to lines with a higher mark only, so that there are no circles.
+                refer = [n for n in made if made.index(n) > made.index(name)]
+                if refer and pick.random() < 0.5:
+                    terms.append(("name", pick.choice(refer)))
+                else:
+                    terms.append(("text", "".join(pick.choice("abXY19_-") for _ in range(pick.randint(0, 9)))))
+            begin = pick.choice(["", "  "]) + name + pick.choice([" = ", ": str = ", " := "])
+            if begin.strip().endswith("str =") or pick.random() < 0.5:
+                begin = begin.replace('": ', '" = ')
+            self.text += begin
+            places, split = [], pick.choice([" + ", " +\n", " \\\n  + "])
+            for k, (kind, value) in enumerate(terms):
+                self.text += split if k else ""
+                places.append(len(self.text) + 1)
+                self.text += value if kind == "name" else f'"{value}"'
+            self.text += pick.choice(["\n", "\n\n", ";\n"])
+            self.rows.append((name, [(*t, p) for t, p in zip(terms, places)]))
+
+    def pieces(self, row, depth=0):
+        """(place, text) of every literal that a row's value is made of, in order."""
+        out = []
+        for kind, value, place in self.rows[row][1]:
+            if kind == "text":
+                out.append((place, value))
+                continue
+            before = [i for i in range(row) if self.rows[i][0] == value]
+            after = [i for i in range(row + 1, len(self.rows)) if self.rows[i][0] == value]
+            if before or after:
+                out += self.pieces(before[-1] if before else after[0], depth + 1)
+            elif len(self.rows[row][1]) == 1:
+                out.append((place - 1, value))
+        return out
+
+    def found(self):
+        spans = set()
+        for k, (name, _) in enumerate(self.rows):
+            pieces = self.pieces(k)
+            whole = "".join(t for _, t in pieces)
+            quoted = any(self.text[p - 1] == '"' for p, _ in pieces)
+            value = secrets._value(whole, 0, len(whole), quoted)
+            if whole and max(secrets.name_score(name), 0) * secrets.literal_score(value) >= secrets.SCORE:
+                spans |= {(p, p + len(t)) for p, t in pieces if t}
+        return spans
+
+
+def test_literals_against_a_plain_recursion():
+    hits = 0
+    for seed in range(400):
+        source = Source(seed)
+        base = {s[:3] for s in secrets.spans(source.text) if s.kind != "literal"}
+        inside = {(a, b) for a, b in source.found() if not any(x <= a and b <= y for _, x, y in base)}
+        got = {(s.start, s.end) for s in secrets.literal_spans(source.text)}
+        assert got == source.found(), (seed, source.text)
+        assert {(s.start, s.end) for s in secrets.spans(source.text) if s.kind == "literal"} == inside
+        hits += len(got)
+    assert hits > 300
