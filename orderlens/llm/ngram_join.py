@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from . import blocks as bk
 from .common import from_planes, sparing, sparing_group, sparing_pair, written
@@ -291,10 +291,13 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size: int
     return alone.select(*columns).unionByName(linked.select(*columns))
 
 
-def _row_key(doc_id: Column, text: Column) -> Column:
-    """A row's id and text as one text that sorts by id first; null without an id. Equal keys: equal rows to the join."""
-    place = F.lpad((doc_id.cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)")).cast("string"), 20, "0")
-    return F.concat(place, F.lit(":"), F.coalesce(F.hex(F.xxhash64(text)), F.lit("-")))
+def _row_key(docs: DataFrame) -> Column:
+    """A row's id and text as one text that sorts by id first; null without an id. Rows with equal keys are copies."""
+    place = F.col("doc_id").cast("string")
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        shifted = F.col("doc_id").cast("decimal(20,0)") + F.expr("9223372036854775808BD")
+        place = F.lpad(shifted.cast("string"), 20, "0")
+    return F.concat(place, F.lit(":"), F.coalesce(F.hex(F.xxhash64("text")), F.lit("-")))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -303,7 +306,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows are told apart by id and text: of rows with one id and different texts each is judged by its own text, and of
     linked ones among them one stays. Rows that repeat id and text are one. Rows without an id are linked with nothing.
     """
-    names, key = docs.columns, _row_key(F.col("doc_id"), F.col("text"))
+    names, key = docs.columns, _row_key(docs)
     judged = written(near_duplicates(docs.select(key.alias("__row"), "text"), "__row"), "join-judged")
     gone = judged.filter("__row <> component_id").select("__row").distinct()
     repeated = judged.filter("__row = component_id").groupBy("__row").count().filter("count > 1").select("__row")
