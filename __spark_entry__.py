@@ -11,6 +11,7 @@ import importlib
 import os
 import sys
 import uuid
+import warnings
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,13 +30,14 @@ from orderlens.operators import (
     stockouts,
 )
 from orderlens.operators.quality import KPI_COLUMNS, SUPPLY_COLUMNS
-from orderlens.plans import cards, facts as fact_plan, incremental, insights, metrics, months, state
-from orderlens.functions import stamp
+from orderlens.plans import cards, facts as fact_plan, incremental, insights, metrics, months, sketches, state
+from orderlens.functions import microseconds_between, stamp
 from orderlens.plans.pipeline import Paths, ingest, run_pipeline
 from orderlens.sources import (
     bad_records,
     good_records,
     land_batch,
+    landed_schema,
     load_metrics,
     read_landing_json,
     read_table,
@@ -43,12 +45,10 @@ from orderlens.sources import (
     write_metrics,
     write_table,
 )
+from orderlens.streaming import Once, compact, convert_new_batches, read_converted, vacuum
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The given tables carry dates at midnight, so a cell of 30 days holds 30 distinct times.
-CELL_SECONDS = 30 * 86400
-
 
 def _raw_orders(spark, sf):
     return views.raw_order_lines(spark, sf)
@@ -67,7 +67,7 @@ def _shipments(spark, sf):
 
 
 def _options(**chosen) -> fact_plan.Options:
-    return fact_plan.Options(dedupe_order=views.LINE_ORDER, cell_seconds=CELL_SECONDS, **chosen)
+    return fact_plan.Options(dedupe_order=views.LINE_ORDER, **chosen)
 
 
 def _lines(spark, sf):
@@ -191,6 +191,38 @@ def _landed_incremental(spark, sf):
     return schemas.conform_shipments(ingested())
 
 
+def _landed_compacted(spark, sf):
+    """Loads of three batches, one of them replaced, rewritten into one folder; the folders before it are taken away."""
+    base = f"{_work(spark, sf, 'landing/compacted')}-{uuid.uuid4().hex}"
+    raw, table = views.raw_shipments(spark, sf), f"{base}/shipments_appended"
+    share = F.pmod(F.crc32("order_id"), F.lit(3))
+
+    def ingested():
+        return ingest(spark, f"{base}/landing", schemas.SHIPMENTS, f"{base}/shipments", False, True)
+
+    for k in range(3):
+        wrong = raw.where(share == k).withColumn("carrier", F.lit("wrong")) if k == 0 else raw.where(share == k)
+        land_batch(wrong, f"{base}/landing", f"b{k}")
+        ingested()
+    land_batch(raw.where(share == 0), f"{base}/landing", "b0")
+    ingested()
+    compact(spark, table, landed_schema(schemas.SHIPMENTS), f"{base}/landing")
+    vacuum(spark, table)
+    return schemas.conform_shipments(ingested())
+
+
+def _deduped_stream(spark, sf):
+    """Lines landed in three batches with copies of whole orders, copies left out as they stream in."""
+    base = f"{_work(spark, sf, 'landing/once')}-{uuid.uuid4().hex}"
+    lines = _lines(spark, sf).where("sku IS NOT NULL")
+    once, table = Once(("order_id", "sku"), "1 day"), f"{base}/orders"
+    for k in range(3):
+        part = lines.where(F.pmod(F.crc32("order_id"), F.lit(3)).isin(k, (k + 1) % 3))
+        land_batch(part, f"{base}/landing", f"b{k}")
+        convert_new_batches(spark, f"{base}/landing", schemas.ORDERS, table, f"{base}/progress", once=once).awaitTermination()
+    return schemas.conform_orders(good_records(read_converted(spark, table, schemas.ORDERS)))
+
+
 def _stamped(spark, sf):
     """Whether every row of a written fact table carries one and the same load time."""
     path = _work(spark, sf, "stamped")
@@ -203,24 +235,53 @@ def _stamped(spark, sf):
     )
 
 
+def _run(spark, sf, name: str) -> Paths:
+    base = _work(spark, sf, f"pipeline/{name}")
+    landing = {
+        table: _land(spark, sf, f"{name}/{table}", view(spark, sf), schema)
+        for table, view, schema in (
+            ("orders", views.raw_order_lines, schemas.ORDERS),
+            ("inventory", views.raw_inventory, schemas.INVENTORY),
+            ("shipments", views.raw_shipments, schemas.SHIPMENTS),
+        )
+    }
+    paths = Paths(**landing, silver=f"{base}/silver", gold=f"{base}/gold")
+    run_pipeline(spark, paths)
+    return paths
+
+
 def _pipeline(dataset: str) -> Query:
     """Landing to gold, every layer written; returns one gold dataset as a report would load it."""
+    return lambda spark, sf: load_metrics(spark, _run(spark, sf, dataset).gold, dataset).drop("metric_generated_ts")
 
-    def run(spark, sf):
-        base = _work(spark, sf, f"pipeline/{dataset}")
-        landing = {
-            name: _land(spark, sf, f"{dataset}/{name}", view(spark, sf), schema)
-            for name, view, schema in (
-                ("orders", views.raw_order_lines, schemas.ORDERS),
-                ("inventory", views.raw_inventory, schemas.INVENTORY),
-                ("shipments", views.raw_shipments, schemas.SHIPMENTS),
-            )
-        }
-        paths = Paths(**landing, silver=f"{base}/silver", gold=f"{base}/gold")
-        run_pipeline(spark, paths, fact_plan.Options(cell_seconds=CELL_SECONDS))
-        return load_metrics(spark, paths.gold, dataset).drop("metric_generated_ts")
 
-    return run
+def _layer_counts(spark, sf):
+    """What a whole run counted in each layer while it wrote it."""
+    return read_table(spark, _run(spark, sf, "layer_counts").counts)
+
+
+def _distinct_orders_sketch(spark, sf):
+    """Sketches per region and SKU merged to regions, beside the exact numbers of the same facts."""
+    facts = _facts(spark, sf, shipments="none")
+    merged = sketches.merged_orders(sketches.order_sketches(facts, "region", "sku"), "region")
+    near = sketches.distinct_orders(merged).withColumnRenamed("distinct_orders", "estimate")
+    exact = metrics.revenue(facts, "region", distinct_orders=True).select("region", "distinct_orders")
+    close = F.abs(F.col("estimate") - F.col("distinct_orders")) <= 0.03 * F.col("distinct_orders")
+    return exact.join(near, "region").select("region", "distinct_orders", close.alias("within_3_percent"))
+
+
+def _latency_quantiles(spark, sf):
+    """Sketches per carrier and month merged to carriers, and whether the true ranks of their quantiles are near."""
+    shipped = _shipments(spark, sf).withColumn(months.MONTH, months.month_of("ship_ts"))
+    merged = sketches.merged_latencies(sketches.latency_sketches(shipped, "carrier", months.MONTH), "carrier")
+    found = sketches.latency_quantiles(merged)
+    taken = shipped.select("carrier", microseconds_between("ship_ts", "delivered_ts").alias("taken"))
+    ranks = taken.where("taken IS NOT NULL").join(found, "carrier").groupBy("carrier", "quantile", "timed").agg(
+        (F.count_if(F.col("taken") < F.col("latency_us")) / F.count("taken")).alias("below"),
+        (F.count_if(F.col("taken") <= F.col("latency_us")) / F.count("taken")).alias("upto"),
+    )
+    near = (F.col("below") <= F.col("quantile") + 0.02) & (F.col("upto") >= F.col("quantile") - 0.02)
+    return ranks.select("carrier", "quantile", "timed", near.alias("rank_within_2_percent"))
 
 
 def _after_batches(spark, sf, name: str) -> incremental.Store:
@@ -272,13 +333,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _training_data(part: str) -> dict:
-    """What the subpackage for training data registers; nothing where it is not installed."""
-    name = "orderlens.llm.queries"
+    """What the subpackage for training data registers; nothing where it, or a library it needs, cannot be imported."""
     try:
-        module = importlib.import_module(name)
-    except ModuleNotFoundError as missing:
-        if missing.name not in ("orderlens.llm", name):
-            raise
+        module = importlib.import_module("orderlens.llm.queries")
+    except ImportError as missing:
+        warnings.warn(f"the queries for training data are left out: {missing}", stacklevel=2)
         return {}
     return dict(getattr(module, part))
 
@@ -312,6 +371,8 @@ def core_queries() -> dict[str, Query]:
             F.col("_corrupt_record").alias("record")
         ),
         "landed_incremental": _landed_incremental,
+        "landed_compacted": _landed_compacted,
+        "landed_once": _deduped_stream,
         "load_metrics_by_region": _loaded_metrics,
         "stamped": _stamped,
         "facts_by_month": lambda spark, sf: _facts_by_month(spark, sf, "facts_by_month"),
@@ -384,6 +445,10 @@ def core_queries() -> dict[str, Query]:
         "pipeline_revenue_by_region": _pipeline("revenue_kpis/by_region"),
         "pipeline_risk_by_sku": _pipeline("revenue_at_risk/by_sku"),
         "pipeline_supply_chain": _pipeline("supply_chain_metrics/summary"),
+        "layer_counts": _layer_counts,
+        # sketches
+        "distinct_orders_sketch": _distinct_orders_sketch,
+        "latency_quantiles": _latency_quantiles,
         # delivery and revenue reports
         "delivery_latency": lambda spark, sf: insights.delivery_latency(
             _lines(spark, sf), _shipments(spark, sf)
@@ -528,6 +593,8 @@ FROM facts GROUP BY region, sku"""
             """SELECT '{"order_id": "' || order_id || '", ' AS record FROM raw_order_lines WHERE sku IS NULL"""
         ),
         "landed_incremental": _with("SELECT * FROM all_shipments"),
+        "landed_compacted": _with("SELECT * FROM all_shipments"),
+        "landed_once": _with("SELECT * FROM order_lines WHERE sku IS NOT NULL"),
         "load_metrics_by_region": over_facts(region_sql),
         "stamped": over_facts("SELECT count(*) AS fact_rows, true AS all_stamped, true AS one_time FROM facts"),
         "conform_inventory": _with("SELECT * FROM inventory_snapshots"),
@@ -608,6 +675,32 @@ FROM ({supply_sql}) s"""
         "pipeline_revenue_by_region": over_facts(region_sql, **landed),
         "pipeline_risk_by_sku": over_facts(risk_sku_sql, **landed),
         "pipeline_supply_chain": over_facts(supply_sql, **landed),
+        "layer_counts": _with(
+            f"""SELECT layer, measure, CAST(value AS BIGINT) AS value FROM (
+SELECT 'orders' AS layer, 'read' AS measure, count(*) AS value FROM raw_order_lines
+UNION ALL SELECT 'inventory', 'read', count(*) FROM inventory_snapshots
+UNION ALL SELECT 'shipments', 'read', count(*) FROM all_shipments
+UNION ALL SELECT unnest(['orders', 'inventory', 'shipments']), 'rejected', 0
+UNION ALL SELECT 'order_lines', 'read', count(*) FROM raw_order_lines
+UNION ALL SELECT 'order_lines', 'null_keys', count(*) FROM raw_order_lines WHERE order_id IS NULL OR sku IS NULL
+UNION ALL SELECT 'order_lines', 'kept', count(*) FROM order_lines
+UNION ALL SELECT 'order_facts', 'lines', count(*) FROM order_lines
+UNION ALL SELECT 'order_facts', 'matched', count(*) FROM matched
+UNION ALL SELECT 'order_facts', 'unmatched', (SELECT count(*) FROM order_lines) - (SELECT count(*) FROM matched)
+UNION ALL SELECT 'order_facts', 'written', count(*) FROM facts) c""",
+            matched=_matched_sql(),
+            facts=_facts_sql("latest_shipments"),
+            **landed,
+        ),
+        "distinct_orders_sketch": over_facts(
+            f"""SELECT region, count(DISTINCT order_id) AS distinct_orders, true AS within_3_percent
+FROM facts WHERE {kpi} GROUP BY region"""
+        ),
+        "latency_quantiles": _with(
+            f"""SELECT carrier, quantile::DOUBLE AS quantile, timed, true AS rank_within_2_percent
+FROM (SELECT carrier, count({taken}) AS timed FROM all_shipments GROUP BY carrier HAVING count({taken}) > 0) t
+CROSS JOIN (SELECT unnest([0.5, 0.9, 0.99]) AS quantile) q"""
+        ),
         "delivery_latency": _with(
             f"""SELECT o.order_id, o.sku, s.carrier, o.promised_delivery_ts, s.ship_ts, s.delivered_ts,
        round({taken} / 3600000000.0::DOUBLE, 6) AS latency_hours, s.delivered_ts > o.promised_delivery_ts AS late

@@ -92,17 +92,14 @@ def _moments(left, right, keys, left_ts, right_ts, payload, ties) -> DataFrame:
 
 def _answers(events: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, _ts, _found) for the moments that are asked for and have a right row at or before them."""
-    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_ts")
-    so_far = in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = events.withColumns(
-        {"_inside": F.last("_snap", ignorenulls=True).over(so_far), "_next": F.lead("_ts").over(in_cell)}
-    )
+    so_far = Window.partitionBy(*keys, "_cell").orderBy("_ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = events.withColumn("_inside", F.last("_snap", ignorenulls=True).over(so_far))
+    # The last right row of each cell is found in the map tasks: one row per key and cell moves.
+    last = F.max_by("_snap", F.when(F.col("_snap").isNotNull(), F.col("_ts")))
+    cells = events.groupBy(*keys, "_cell").agg(last.alias("_last"))
     earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    # `_asked` is never null; naming it gives both branches the same columns, so that they share one shuffle.
-    seeds = (
-        inside.where("_next IS NULL AND _asked IS NOT NULL")
-        .select(*keys, "_cell", F.last("_inside", ignorenulls=True).over(earlier).alias("_seed"))
-        .where("_seed IS NOT NULL")
+    seeds = cells.select(*keys, "_cell", F.last("_last", ignorenulls=True).over(earlier).alias("_seed")).where(
+        "_seed IS NOT NULL"
     )
     return (
         inside.where("_asked")

@@ -41,6 +41,20 @@ def data_files(spark: SparkSession, path: str) -> dict[str, int]:
     return {name: size for name, size in found.items() if name[0] not in "._"}
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Renames a file; the target must not be there."""
+    at, fs = _open(spark, path)
+    to, _ = _open(spark, target)
+    if not fs.rename(at, to):
+        raise OSError(f"cannot move {path} to {target}")
+
+
+def matching(spark: SparkSession, path: str) -> list[str]:
+    """The folders that a path or glob names."""
+    at, fs = _open(spark, path)
+    return [s.getPath().toString() for s in fs.globStatus(at) or [] if s.isDirectory()]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     at, fs = _open(spark, path)
     fs.delete(at, True)

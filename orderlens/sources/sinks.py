@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
+from orderlens.sources import files
+
+# Names the files of a batch that was replaced.
+CURRENT = "_current.json"
 TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -27,13 +32,30 @@ def times_as_text(df: DataFrame) -> DataFrame:
 def land_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "json") -> str:
     """Adds one batch to a landing area as `<path>/batch_id=<id>/`, one file per task.
 
-    Batches stand beside each other; writing a batch again replaces that batch, so a rerun lands no copies.
+    Batches stand beside each other; writing a batch again replaces that batch, so a rerun lands no copies. It is written aside
+    first and a pointer in the batch's folder then names its files, in one step: a run that stops in between leaves the
+    old batch, and a reader sees one of both, never neither. Files that were replaced stay until the next replacement,
+    for readers that have begun; `landing.stale_files` names them.
     """
     if fmt not in ("json", "parquet"):
         raise ValueError(f"unknown landing format: {fmt}")
-    target = f"{path}/batch_id={batch_id}"
+    spark, target = df.sparkSession, f"{path}/batch_id={batch_id}"
     landed = times_as_text(df) if fmt == "json" else df
-    landed.write.mode("overwrite").format(fmt).save(target)
+    if not files.exists(spark, target):
+        landed.write.mode("overwrite").format(fmt).save(target)
+        return target
+    aside = f"{path}/.aside-{uuid.uuid4().hex}"
+    landed.write.format(fmt).save(aside)
+    here, pointer = files.data_files(spark, target), f"{target}/{CURRENT}"
+    before = files.pointer(spark, pointer, sorted(here))
+    files.put_pointer(spark, pointer, before)
+    made = sorted(files.data_files(spark, aside))
+    for name in made:
+        files.move(spark, f"{aside}/{name}", f"{target}/{name}")
+    files.put_pointer(spark, pointer, made)
+    for name in here.keys() - set(before):
+        files.remove(spark, f"{target}/{name}")
+    files.remove(spark, aside)
     return target
 
 

@@ -1,3 +1,4 @@
-from orderlens.streaming.landing import convert_new_batches, present_files
+from orderlens.streaming.landing import Once, convert_new_batches, present_files, read_converted
+from orderlens.streaming.loads import compact, read_loads, vacuum
 
-__all__ = ["convert_new_batches", "present_files"]
+__all__ = ["Once", "compact", "convert_new_batches", "present_files", "read_converted", "read_loads", "vacuum"]

@@ -1,13 +1,34 @@
-"""Repeated ingestion: only batches that arrived since the last run are parsed."""
+"""Repeated ingestion: only files that arrived since the last run are parsed."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from orderlens.schemas import typed
-from orderlens.sources.landing import SOURCE, landed_files, read_landing_json
+from orderlens.sources.landing import SOURCE, landed_files, landed_schema, read_landing_json
+from orderlens.sources.sinks import write_table
+from orderlens.streaming.loads import LOAD, read_loads
+
+
+@dataclass(frozen=True)
+class Once:
+    """Which copies a stream leaves out: records with the keys of one that arrived up to `delay` before.
+
+    Time is that of arrival, so no record is ever too late and none is lost for its own time. Keys are forgotten `delay` after
+    they arrived, which bounds the state by the records of that span; a copy that comes later is kept and left to the
+    fact job. Records without one of the keys are all kept, unreadable ones too.
+
+    Of copies that differ the first one stays, and one left out is gone for good: not for landing areas where the batch
+    with the first may be replaced.
+    """
+
+    keys: Sequence[str]
+    delay: str
 
 
 def convert_new_batches(
@@ -17,24 +38,46 @@ def convert_new_batches(
     table: str,
     checkpoint: str,
     multi_line: bool = False,
+    once: Once | None = None,
 ) -> StreamingQuery:
-    """Appends every landed file not yet seen to a typed Parquet table, exactly once, then stops.
+    """Adds every landed file not yet seen to a typed table as one load folder, exactly once, then stops.
 
-    Every record keeps the name of its file: of a batch that was replaced the old files are gone, and
-    `present_files` leaves their records out on reading. Unreadable records are kept in the table and told apart on reading (`good_records`, `bad_records`). The
-    checkpoint folder remembers the files done; it must outlive the run, like the table. Copies are removed by
-    the fact job, where all copies of an order line meet, so the stream keeps no state.
+    A load that is written again after a stop replaces itself. Every record keeps the name of its file: of a batch that was
+    replaced the old files are gone, and `present_files` leaves their records out on reading, until `loads.compact` takes them
+    off the disk. Unreadable records are kept in the table and told apart on reading (`good_records`, `bad_records`). The checkpoint
+    folder remembers the files done; it must outlive the run, like the table. Without `once` the stream keeps no state: copies
+    are removed by the fact job, where all copies of an order line meet.
     """
+    records = typed(read_landing_json(spark, path, schema, multi_line, stream=True), schema)
+    if once is not None:
+        records = _once(records, once)
+
+    def put(rows: DataFrame, number: int) -> None:
+        if not rows.isEmpty():
+            write_table(rows, f"{table}/{LOAD}{number:09d}")
+
     return (
-        typed(read_landing_json(spark, path, schema, multi_line, stream=True), schema)
-        .writeStream.format("parquet")
+        records.writeStream.foreachBatch(put)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(table)
+        .start()
     )
 
 
+def _once(records: DataFrame, once: Once) -> DataFrame:
+    known = F.expr(" AND ".join(f"{c} IS NOT NULL" for c in once.keys))
+    # A record that cannot be told apart by its keys gets a name of its own.
+    marked = records.withColumns({"_alone": F.when(~known, F.uuid()), "_arrived": F.current_timestamp()})
+    near = marked.withWatermark("_arrived", once.delay).dropDuplicatesWithinWatermark([*once.keys, "_alone"])
+    return near.select(*records.columns)
+
+
 def present_files(records: DataFrame, path: str) -> DataFrame:
     """The records whose files still stand in the landing area."""
     return records.join(landed_files(records.sparkSession, path), SOURCE, "left_semi").select(*records.columns)
+
+
+def read_converted(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    """All records that were converted, unreadable ones too."""
+    return read_loads(spark, table, landed_schema(schema))

@@ -1,0 +1,156 @@
+"""Counts of every layer, limits that stop a run, and sketches that merge."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderlens import schemas
+from orderlens.plans import sketches
+from orderlens.plans.facts import Options
+from orderlens.plans.gates import Gate, GateFailed, Report
+from orderlens.plans.pipeline import Paths, run_pipeline
+from orderlens.sources import read_table
+from orderlens.sources.files import exists
+
+T0 = datetime(2024, 1, 10, 9)
+
+
+def order(order_id, sku="A", **other):
+    return {"order_id": order_id, "order_ts": "2024-01-10T09:00:00", "region": "R", "sku": sku, "qty": 1, "unit_price": 5} | other
+
+
+@pytest.fixture
+def paths(tmp_path):
+    areas = {
+        "orders": [order("O1"), order("O1", qty=2), order("O2", "B"), order("O3", None), order(None), "{broken", "[1"],
+        "inventory": [dict(snapshot_ts="2024-01-09T00:00:00", warehouse_id="W", sku="A", on_hand_qty=3), "{x"],
+        "logistics": [dict(order_id="O1", carrier="UPS", ship_ts="2024-01-11T00:00:00", status="x")],
+    }
+    for name, records in areas.items():
+        (tmp_path / name).mkdir()
+        text = "\n".join(r if isinstance(r, str) else json.dumps(r) for r in records)
+        (tmp_path / name / "a.json").write_text(text)
+
+    def made(**chosen):
+        return Paths(
+            orders=str(tmp_path / "orders"), inventory=str(tmp_path / "inventory"), shipments=str(tmp_path / "logistics"),
+            silver=str(tmp_path / "silver"), gold=str(tmp_path / "gold"), **chosen,
+        )
+
+    return made
+
+
+def counts(spark, paths):
+    return {(r.layer, r.measure): r.value for r in read_table(spark, paths.counts).collect()}
+
+
+WANT = {
+    ("orders", "read"): 7, ("orders", "rejected"): 2, ("inventory", "read"): 2, ("inventory", "rejected"): 1,
+    ("shipments", "read"): 1, ("shipments", "rejected"): 0,
+    ("order_lines", "read"): 5, ("order_lines", "null_keys"): 2, ("order_lines", "kept"): 4,
+    ("order_facts", "lines"): 4, ("order_facts", "matched"): 2, ("order_facts", "unmatched"): 2,
+}
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_layers_are_counted(spark, paths, incremental):
+    run_pipeline(spark, paths(incremental=incremental))
+    assert counts(spark, paths()) == WANT | {("order_facts", "written"): 2}
+
+
+@pytest.mark.parametrize("shipments", ["latest", "all", "none"])
+def test_unmatched_lines_of_an_outer_join(spark, paths, shipments):
+    run_pipeline(spark, paths(), Options(how="left", shipments=shipments))
+    assert counts(spark, paths()) == WANT | {("order_facts", "written"): 4}
+
+
+def test_counting_makes_no_job(spark, paths):
+    def jobs(with_gates):
+        context, group = spark.sparkContext, f"count-{with_gates}"
+        context.setJobGroup(group, group)
+        frame = spark.range(100)
+        report = Report()
+        seen = report.observed(frame, "x", n=F.count(F.lit(1))) if with_gates else frame
+        seen.write.format("noop").mode("overwrite").save()
+        if with_gates:
+            assert report.counts() == {("x", "n"): 100}
+        context.setJobGroup("", "")
+        return len(context.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(True) == jobs(False)
+
+
+def test_a_gate_stops_the_run_before_the_next_layer(spark, paths):
+    made = paths()
+    fine = [Gate("orders", "rejected", "read", 0.5), Gate("order_facts", "unmatched", "lines", 0.5)]
+    run_pipeline(spark, made, Options(), fine)
+    for gate, later in ((Gate("orders", "rejected", "read", 0.1), "order_lines"), (Gate("order_facts", "unmatched", "lines", 0.4), "kpis")):
+        stopped = paths()
+        object.__setattr__(stopped, "silver", f"{made.silver}-{later}")
+        object.__setattr__(stopped, "gold", f"{made.gold}-{later}")
+        with pytest.raises(GateFailed, match=gate.layer):
+            run_pipeline(spark, stopped, Options(), [gate])
+        assert (gate.layer, gate.part) in counts(spark, stopped)
+        assert not exists(spark, f"{stopped.gold}/metric_totals")
+        assert exists(spark, stopped.lines) == (later == "kpis")
+
+
+def facts(spark, rows):
+    full = [(o, s, "C", 1, 1, 1, 1, False, "W", r, None, None, None, None, None) for o, s, r in rows]
+    return spark.createDataFrame(full, schemas.ORDER_FACTS).drop("ingestion_ts")
+
+
+def test_order_sketches_merge_and_are_near(spark):
+    df = spark.range(60_000).select(
+        F.concat(F.lit("O"), (F.col("id") % 20_000).cast("string")).alias("order_id"),
+        F.concat(F.lit("S"), (F.col("id") % 7).cast("string")).alias("sku"),
+        F.when(F.col("id") % 3 == 0, "A").otherwise("B").alias("region"),
+        F.lit(1).cast("bigint").alias("order_value"),
+    )
+    fine = sketches.order_sketches(df, "region", "sku")
+    for by in ((), ("region",), ("sku",)):
+        got = {tuple(r[c] for c in by): r.distinct_orders for r in sketches.distinct_orders(sketches.merged_orders(fine, *by)).collect()}
+        exact = df.groupBy(*by).agg(F.count_distinct("order_id").alias("n")).collect()
+        for r in exact:
+            assert abs(got[tuple(r[c] for c in by)] - r.n) <= 0.03 * r.n
+    few = facts(spark, [("O1", "A", "R"), ("O1", "B", "R"), ("O2", "A", None), (None, "A", "R")])
+    small = sketches.distinct_orders(sketches.order_sketches(few, "region"))
+    assert {r.region: r.distinct_orders for r in small.collect()} == {"R": 1, None: 1}
+
+
+def test_one_row_per_group_is_shuffled(spark):
+    df = spark.range(0, 10_000, 1, 4).select(
+        F.col("id").cast("string").alias("order_id"), F.lit("A").alias("sku"), F.lit(1).cast("bigint").alias("order_value"),
+        F.lit("R").alias("region"),
+    )
+    made = sketches.order_sketches(df, "region")
+    made.collect()
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") >= 1 and "partial_hll_sketch_agg" in plan
+
+
+def test_latency_sketches_merge_within_their_rank_error(spark):
+    n = 20_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, "UPS").otherwise("DHL").alias("carrier"),
+        (F.col("id") % 5).alias("part"),
+        F.lit(T0).alias("ship_ts"),
+        (F.lit(T0) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("id") * 7919 % n).cast("decimal(18,6)"))).alias("delivered_ts"),
+    )
+    merged = sketches.merged_latencies(sketches.latency_sketches(df, "carrier", "part"), "carrier")
+    rows = sketches.latency_quantiles(merged, (0.01, 0.5, 0.9, 0.99)).collect()
+    assert len(rows) == 8 and {r.timed for r in rows} == {n // 2}
+    values = {"UPS": sorted(i * 7919 % n for i in range(0, n, 2)), "DHL": sorted(i * 7919 % n for i in range(1, n, 2))}
+    for r in rows:
+        below = sum(v * 1_000_000 <= r.latency_us for v in values[r.carrier]) / (n // 2)
+        assert abs(below - r.quantile) <= 0.02
+
+
+def test_no_times_no_sketch(spark):
+    df = spark.createDataFrame([("UPS", T0, None), (None, None, T0), (None, T0, T0 + timedelta(hours=2))], "carrier string, ship_ts timestamp_ntz, delivered_ts timestamp_ntz")
+    rows = sketches.latency_quantiles(sketches.latency_sketches(df, "carrier"), (0.5,)).collect()
+    assert [tuple(r) for r in rows] == [(None, 1, 0.5, 7_200_000_000)]

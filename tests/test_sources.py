@@ -295,3 +295,72 @@ def test_own_folder_where_none_is_named():
     for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
         with pytest.raises(ValueError, match="share"):
             shared_dir(bare(master))
+
+
+def carriers(spark, landing):
+    return sorted(r.carrier for r in good_records(read_landing_json(spark, landing, schemas.SHIPMENTS)).collect())
+
+
+@pytest.mark.parametrize("step", ["aside", "moved", "flipped"])
+def test_replacing_a_batch_leaves_no_gap(spark, tmp_path, monkeypatch, step):
+    """A run that stops anywhere leaves the old batch or the new one, whole, and the next run replaces it."""
+    from orderlens.sources import files
+
+    landing = str(tmp_path / "landing")
+
+    def batch(carrier, n):
+        return spark.createDataFrame([(f"O{k}", carrier) for k in range(n)], "order_id string, carrier string").repartition(3)
+
+    land_batch(batch("old", 5), landing, "b1")
+    land_batch(batch("other", 1), landing, "b2")
+    put, move, remove, flips = files.put_pointer, files.move, files.remove, []
+
+    def stop_move(*args):
+        raise RuntimeError("lost")
+
+    def stop_put(spark, path, value):
+        flips.append(path)
+        if len(flips) == 2:
+            raise RuntimeError("lost")
+        put(spark, path, value)
+
+    with monkeypatch.context() as patch:
+        if step == "aside":
+            patch.setattr(files, "move", stop_move)
+        elif step == "moved":
+            patch.setattr(files, "put_pointer", stop_put)
+        else:
+            patch.setattr(files, "remove", stop_move)
+        with pytest.raises(RuntimeError):
+            land_batch(batch("new", 4), landing, "b1")
+    assert (files.put_pointer, files.move, files.remove) == (put, move, remove)
+    old_or_new = ["old"] * 5 if step != "flipped" else ["new"] * 4
+    assert carriers(spark, landing) == sorted(old_or_new + ["other"])
+    for k in range(3):
+        land_batch(batch(f"again{k}", 2), landing, "b1")
+        assert carriers(spark, landing) == sorted([f"again{k}"] * 2 + ["other"])
+        left = {p.name for p in (tmp_path / "landing/batch_id=b1").glob("*.json") if p.name[0] != "_"}
+        assert len(left) <= 6
+
+
+def test_a_reader_of_a_replaced_batch_goes_on(spark, tmp_path):
+    landing = str(tmp_path)
+    land_batch(spark.createDataFrame([("O1", "old")], "order_id string, carrier string"), landing, "b1")
+    running = read_landing_json(spark, landing, schemas.SHIPMENTS)
+    land_batch(spark.createDataFrame([("O1", "new")], "order_id string, carrier string"), landing, "b1")
+    assert [r.carrier for r in running.collect()] == ["old"]
+    assert carriers(spark, landing) == ["new"] == carriers(spark, f"{tmp_path}/batch_id=*")
+
+
+def test_a_missing_library_takes_no_other_query(monkeypatch):
+    """What the training-data part needs may be missing; the other queries stay, and a warning says why."""
+    import __spark_entry__ as entry
+
+    def missing(name, *rest):
+        raise ModuleNotFoundError("No module named 'ahocorasick'", name="ahocorasick")
+
+    monkeypatch.setattr(entry.importlib, "import_module", missing)
+    with pytest.warns(UserWarning, match="ahocorasick"):
+        assert entry.queries().keys() == entry.core_queries().keys()
+    with pytest.warns(UserWarning):
+        assert entry.oracle_sql().keys() == entry.core_oracle_sql().keys()
