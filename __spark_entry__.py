@@ -32,7 +32,7 @@ from orderlens.operators import (
 from orderlens.operators.quality import KPI_COLUMNS, SUPPLY_COLUMNS
 from orderlens.plans import cards, facts as fact_plan, incremental, insights, metrics, months, sketches, state
 from orderlens.functions import microseconds_between, stamp
-from orderlens.plans.pipeline import Paths, ingest, run_pipeline
+from orderlens.plans.pipeline import Paths, compact_ingested, ingest, run_changes, run_pipeline
 from orderlens.sources import (
     bad_records,
     good_records,
@@ -255,6 +255,26 @@ def _pipeline(dataset: str) -> Query:
     return lambda spark, sf: load_metrics(spark, _run(spark, sf, dataset).gold, dataset).drop("metric_generated_ts")
 
 
+def _changes(spark, sf):
+    """Two rounds of landed batches, each applied by a run that writes only what changed; revenue by region after both."""
+    base = f"{_work(spark, sf, 'pipeline/changes')}-{uuid.uuid4().hex}"
+    areas = {n: f"{base}/landing/{n}" for n in ("orders", "inventory", "shipments")}
+    paths = Paths(**areas, silver=f"{base}/silver", gold=f"{base}/gold")
+    given = (
+        ("orders", views.raw_order_lines, schemas.ORDERS),
+        ("inventory", views.raw_inventory, schemas.INVENTORY),
+        ("shipments", views.raw_shipments, schemas.SHIPMENTS),
+    )
+    for k in range(2):
+        for name, view, schema in given:
+            raw = view(spark, sf).select(*schema.fieldNames())
+            share = F.pmod(F.xxhash64(*raw.columns), F.lit(10)) >= 8
+            land_batch(raw.where(share == bool(k)), areas[name], f"b{k}")
+        run_changes(spark, paths)
+        compact_ingested(spark, paths)
+    return load_metrics(spark, paths.gold, "revenue_kpis/by_region").drop("metric_generated_ts")
+
+
 def _layer_counts(spark, sf):
     """What a whole run counted in each layer while it wrote it."""
     return read_table(spark, _run(spark, sf, "layer_counts").counts)
@@ -445,6 +465,7 @@ def core_queries() -> dict[str, Query]:
         "pipeline_revenue_by_region": _pipeline("revenue_kpis/by_region"),
         "pipeline_risk_by_sku": _pipeline("revenue_at_risk/by_sku"),
         "pipeline_supply_chain": _pipeline("supply_chain_metrics/summary"),
+        "pipeline_changes": _changes,
         "layer_counts": _layer_counts,
         # sketches
         "distinct_orders_sketch": _distinct_orders_sketch,
@@ -675,6 +696,7 @@ FROM ({supply_sql}) s"""
         "pipeline_revenue_by_region": over_facts(region_sql, **landed),
         "pipeline_risk_by_sku": over_facts(risk_sku_sql, **landed),
         "pipeline_supply_chain": over_facts(supply_sql, **landed),
+        "pipeline_changes": over_facts(region_sql, **landed),
         "layer_counts": _with(
             f"""SELECT layer, measure, CAST(value AS BIGINT) AS value FROM (
 SELECT 'orders' AS layer, 'read' AS measure, count(*) AS value FROM raw_order_lines

@@ -154,3 +154,44 @@ def test_no_times_no_sketch(spark):
     df = spark.createDataFrame([("UPS", T0, None), (None, None, T0), (None, T0, T0 + timedelta(hours=2))], "carrier string, ship_ts timestamp_ntz, delivered_ts timestamp_ntz")
     rows = sketches.latency_quantiles(sketches.latency_sketches(df, "carrier"), (0.5,)).collect()
     assert [tuple(r) for r in rows] == [(None, 1, 0.5, 7_200_000_000)]
+
+
+def land(tmp_path, area, name, *records):
+    (tmp_path / area / name).write_text("\n".join(json.dumps(r) for r in records))
+
+
+def test_runs_that_write_only_changes_equal_a_full_run(spark, paths, tmp_path, monkeypatch):
+    from orderlens.plans import pipeline
+
+    made = paths()
+    pipeline.run_changes(spark, made)
+    land(tmp_path, "inventory", "late.json", dict(snapshot_ts="2024-01-10T08:00:00", warehouse_id="W2", sku="A", on_hand_qty=0))
+    land(tmp_path, "orders", "b.json", order("O9", qty=7), order("O1", qty=0))
+    put = pipeline.write_current_metrics
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "write_current_metrics", lost)
+        with pytest.raises(RuntimeError):
+            pipeline.run_changes(spark, made)
+    land(tmp_path, "logistics", "c.json", dict(order_id="O9", carrier="DHL", ship_ts="2024-01-12T00:00:00", status="DELIVERED"))
+    assert pipeline.write_current_metrics is put
+    pipeline.run_changes(spark, made)  # finishes the run that stopped
+    pipeline.compact_ingested(spark, made)
+    pipeline.run_changes(spark, made)  # takes in the shipment
+    pipeline.run_changes(spark, made)  # nothing is new
+    whole = paths()
+    object.__setattr__(whole, "silver", str(tmp_path / "full-silver"))
+    object.__setattr__(whole, "gold", str(tmp_path / "full-gold"))
+    run_pipeline(spark, whole)
+
+    def rows(df):
+        return sorted(str(sorted(r.asDict().items())) for r in df.collect())
+
+    got = read_table(spark, made.store.at("facts")).drop("order_month")
+    assert rows(got) == rows(read_table(spark, whole.facts).drop("ingestion_ts")) and got.count() == 3
+    for name in ("revenue_kpis/by_sku", "revenue_at_risk/summary", "supply_chain_metrics/summary"):
+        one, other = (read_table(spark, f"{p.gold}/{name}").drop("metric_generated_ts") for p in (made, whole))
+        assert rows(one) == rows(other)
