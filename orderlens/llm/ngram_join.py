@@ -305,13 +305,22 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows are told apart by id and text: of rows with one id and different texts each is judged by its own text, and of
     linked ones among them one stays. Rows that repeat id and text are one. Rows without an id are linked with nothing.
+    Texts are joined with ids alone; only rows that share their id are joined by text as well.
     """
-    names, key = docs.columns, _row_key(docs)
-    judged = written(near_duplicates(docs.select(key.alias("__row"), "text"), "__row"), "join-judged")
-    gone = judged.filter("__row <> component_id").select("__row").distinct()
-    repeated = judged.filter("__row = component_id").groupBy("__row").count().filter("count > 1").select("__row")
-    gone, repeated = written(gone, "join-gone"), written(repeated, "join-repeated")
-    rows = docs.select(key.alias("__row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("__doc"))
-    single = rows.join(gone.unionByName(repeated), "__row", "left_anti")
-    again = rows.join(repeated, "__row", "left_semi").dropDuplicates(["__row"])
-    return single.unionByName(again).select("__doc.*")
+    key, kind = _row_key(docs), docs.schema["doc_id"].dataType
+    # A row's name is its id in 20 digits or more, and 17 characters for its text.
+    keyed = docs.select(key.alias("__row"), "text")
+    judged = near_duplicates(keyed, "__row").filter("__row IS NOT NULL").select("__row", "component_id")
+    name = F.regexp_replace("__row", ":[0-9A-F-]*$", "")
+    if isinstance(kind, IntegralType):
+        name = name.cast("decimal(20,0)") - F.expr("9223372036854775808BD")
+    judged = written(judged.withColumn("__id", name.cast(kind)), "join-judged")
+    shared = written(judged.groupBy("__id").count().filter("count > 1").select("__id"), "join-shared")
+    gone = judged.filter("__row <> component_id").select("__id").distinct()
+    out = written(gone.unionByName(shared).distinct().withColumnRenamed("__id", "doc_id"), "join-gone")
+    single = docs.join(out, "doc_id", "left_anti").select(*docs.columns)
+    theirs = judged.join(shared, "__id", "left_semi").filter("__row <> component_id").select("__row").distinct()
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")
+    rows = docs.join(shared.withColumnRenamed("__id", "doc_id"), "doc_id", "left_semi").select(key.alias("__row"), packed)
+    again = rows.join(theirs, "__row", "left_anti").dropDuplicates(["__row"])
+    return single.unionByName(again.select("__doc.*"))
