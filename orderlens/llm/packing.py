@@ -28,9 +28,9 @@ from .common import of_process, sparing, written
 WINDOW = 2048
 END_ID = 1
 
-# Words that are turned into ids together, words remembered by a process (half of them stay when there are more), and
-# words encoded as one text.
-GROUP_WORDS, MEMO_WORDS, JOINED_WORDS = 100_000, 500_000, 1000
+# Words that are turned into ids together, words remembered by a task (half of them stay when there are more), those that
+# stay between tasks of a process, and words encoded as one text.
+GROUP_WORDS, MEMO_WORDS, RESTING_WORDS, JOINED_WORDS = 100_000, 400_000, 100_000, 1000
 # Documents of a batch that are texts in memory at a time.
 ROWS_AT_ONCE = 500
 STOPS = (b".", b",")
@@ -91,9 +91,14 @@ class Encoder:
         self.table = _Table(np.array([END_ID], np.uint32), np.array([1], np.int64))
         self.uses = np.zeros(1, np.int64)
 
-    def _cool(self) -> None:
+    def rest(self) -> None:
+        """Between tasks only the words that were used most are held."""
+        if len(self.known) > RESTING_WORDS:
+            self._cool(RESTING_WORDS)
+
+    def _cool(self, left: int) -> None:
         """Forgets the words that were used least, later ones first among equals; the others count half from now on."""
-        order = np.argsort(-self.uses[1:], kind="stable")[: MEMO_WORDS // 2] + 1
+        order = np.argsort(-self.uses[1:], kind="stable")[:left] + 1
         warm = np.sort(order)
         words = list(self.known)
         self.known = _Numbers()
@@ -145,7 +150,7 @@ class Encoder:
             self.uses, (0, len(self.table.lengths) - len(self.uses))
         )
         if len(self.known) > MEMO_WORDS:
-            self._cool()
+            self._cool(MEMO_WORDS // 2)
         return np.split(ids, upto[np.cumsum([len(w) + 1 for w in docs]) - 1][:-1])
 
     def texts(self, texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -180,20 +185,23 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = of_process(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
-        for batch in (b.slice(k, ROWS_AT_ONCE) for b in batches for k in range(0, b.num_rows, ROWS_AT_ONCE)):
-            rows: list[list] = [[] for _ in fields]
-            names = batch.column(0)
-            origin = []
-            for k, ids in enumerate(encoder.texts(batch.column(1).to_pylist())):
-                for start in range(0, len(ids), window):
-                    piece = ids[start : start + window]
-                    made = (start, len(piece), zlib.crc32(piece.astype("<u4").tobytes()), len(ids), piece)
-                    origin.append(k)
-                    for column, value in zip(rows[1:], made):
-                        column.append(value)
-            columns = [names.take(pa.array(origin, pa.int64())).cast(arrow.field(0).type)]
-            columns += [pa.array(v, f.type) for v, f in zip(rows[1:], list(arrow)[1:])]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        try:
+            for batch in (b.slice(k, ROWS_AT_ONCE) for b in batches for k in range(0, b.num_rows, ROWS_AT_ONCE)):
+                rows: list[list] = [[] for _ in fields]
+                names = batch.column(0)
+                origin = []
+                for k, ids in enumerate(encoder.texts(batch.column(1).to_pylist())):
+                    for start in range(0, len(ids), window):
+                        piece = ids[start : start + window]
+                        made = (start, len(piece), zlib.crc32(piece.astype("<u4").tobytes()), len(ids), piece)
+                        origin.append(k)
+                        for column, value in zip(rows[1:], made):
+                            column.append(value)
+                columns = [names.take(pa.array(origin, pa.int64())).cast(arrow.field(0).type)]
+                columns += [pa.array(v, f.type) for v, f in zip(rows[1:], list(arrow)[1:])]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        finally:
+            encoder.rest()
 
     return source.mapInArrow(sparing(cut), schema)
 
