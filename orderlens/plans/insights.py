@@ -34,13 +34,14 @@ def delivery_latency(lines: DataFrame, shipments: DataFrame) -> DataFrame:
 def carrier_performance(shipments: DataFrame) -> DataFrame:
     """Per carrier: shipments, delivered rate and average hours to deliver.
 
-    Times are summed as whole microseconds and divided once, so the average is the same in any order of the rows.
+    Times are summed as whole microseconds and divided once, so the average is the same in any order of the rows. The sum
+    is a decimal: a million shipments of some weeks are more microseconds than a bigint holds.
     """
     taken = microseconds_between("ship_ts", "delivered_ts")
     totals = shipments.groupBy("carrier").agg(
         F.count(F.lit(1)).alias("shipments"),
         F.count_if(is_delivered()).alias("delivered_shipments"),
-        F.sum(taken).alias("_taken"),
+        F.sum(taken.cast("decimal(19,0)")).alias("_taken"),
         F.count(taken).alias("_timed"),
     )
     return totals.select(

@@ -176,3 +176,12 @@ def test_latency_counts_microseconds(spark):
         assert {r.order_id: r.n for r in exact} == {"O1": 200_000, "O2": -200_000, "O3": 86_400_000_002}
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_latencies_beyond_a_bigint(spark):
+    """Forty shipments of eight thousand years: their microseconds do not fit a bigint."""
+    first, last = datetime(1000, 1, 1), datetime(9000, 1, 1)
+    shipments = spark.createDataFrame([("O", "UPS", first, last, "DELIVERED")] * 40, schemas.SHIPMENTS)
+    row = insights.carrier_performance(schemas.conform_shipments(shipments)).collect()[0]
+    hours = (last - first).total_seconds() / 3600
+    assert (row.shipments, row.avg_latency_hours) == (40, hours)
