@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import Window, functions as F
 
-from orderlens.operators import asof_join
+from orderlens.operators import asof, asof_join
 
 LEFT = "line string, sku string, region string, order_ts timestamp_ntz"
 RIGHT = "sku string, snapshot_ts timestamp_ntz, warehouse_id string, on_hand_qty bigint"
@@ -225,3 +225,46 @@ def test_bad_arguments(spark):
         asof_join(left, right, ["sku"], "order_ts", "snapshot_ts", how="full")
     with pytest.raises(ValueError, match="both sides"):
         asof_join(left, right.withColumnRenamed("warehouse_id", "line"), ["sku"], "order_ts", "snapshot_ts")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_many_light_keys_beside_a_heavy_one(spark, how):
+    """Keys below and above the share that is cut up, with ties and nulls: the definition, and one shuffle of the light rows."""
+    rng = random.Random(11)
+
+    def some_time():
+        return None if rng.random() < 0.03 else DAY + timedelta(minutes=rng.randrange(0, 200))
+
+    skus = [f"S{i}" for i in range(1500)]
+
+    def some_sku(i):
+        return "hot" if i % 9 == 0 else None if i % 50 == 0 else skus[i % 1500]
+
+    lines = [(f"l{i}", some_sku(i), "x", some_time()) for i in range(4500)]
+    snaps = [
+        (some_sku(i), some_time(), rng.choice(["W1", "W2", None]), rng.choice([None, 1, 2])) for i in range(9000)
+    ]
+    by_key = {}
+    for s in snaps:
+        by_key.setdefault(s[0], []).append(s)
+    wanted = {}
+    for line in lines:
+        wanted |= brute_force([line], by_key.get(line[1], []), how)
+    assert join(spark, lines, snaps, how) == wanted
+
+
+def test_only_heavy_keys_are_cut_up(spark):
+    sku = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("S"), F.col("id") % 5000)).alias("sku")
+    rows = spark.range(0, 30_000).select(sku)
+    assert [r.sku for r in asof._heavy(rows, ["sku"]).collect()] == ["hot"]
+
+
+def test_light_lines_are_shuffled_once(spark):
+    """Rows that many keys share take one exchange of each side; only the plan for heavy keys reduces and joins moments."""
+    lines = spark.createDataFrame([("l", "A", "x", at(9))], LEFT)
+    snaps = spark.createDataFrame([("A", at(8), "W1", 20)], RIGHT)
+    ties = ["warehouse_id", "on_hand_qty"]
+    light = asof._in_order(lines, snaps, ["sku"], "order_ts", "snapshot_ts", ["snapshot_ts", *ties], ties, "inner")
+    plan = light._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert [tuple(r)[4:] for r in light.collect()] == [(at(8), "W1", 20)]
