@@ -1,6 +1,6 @@
 from orderlens.sources.jdbc import jdbc_options, read_jdbc_snapshot
 from orderlens.sources.landing import bad_records, good_records, landed_files, landed_schema, read_landing_json
-from orderlens.sources.sinks import land_batch, write_metrics, write_table
+from orderlens.sources.sinks import land_batch, shuffles_removed, write_metrics, write_table
 from orderlens.sources.tables import load_metrics, read_table, shared_dir
 
 __all__ = [
@@ -15,6 +15,7 @@ __all__ = [
     "read_landing_json",
     "read_table",
     "shared_dir",
+    "shuffles_removed",
     "write_metrics",
     "write_table",
 ]

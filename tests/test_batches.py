@@ -192,3 +192,14 @@ def test_a_month_is_one_folder_of_the_scan(spark, store):
     latest.collect()
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
+
+
+def test_the_work_of_an_applied_batch_goes(spark, store):
+    from orderlens.sources.files import exists, folders
+
+    news = batch(spark, [line("O7", 40)])
+    incremental.apply_batch(spark, store, "news", *news)
+    assert not folders(spark, store.at("aside")) and exists(spark, store.at("changes", "news"))
+    before = rows(incremental.facts_now(spark, store))
+    incremental.apply_batch(spark, store, "news", *news)
+    assert rows(incremental.facts_now(spark, store)) == before and not folders(spark, store.at("aside"))

@@ -364,3 +364,32 @@ def test_a_missing_library_takes_no_other_query(monkeypatch):
         assert entry.queries().keys() == entry.core_queries().keys()
     with pytest.warns(UserWarning):
         assert entry.oracle_sql().keys() == entry.core_oracle_sql().keys()
+
+
+def test_a_packed_batch_lands_like_a_plain_one(spark, tmp_path, monkeypatch):
+    """Packed files are smaller, cut at a number of records, and taken in by scans and streams beside plain ones."""
+    from orderlens.sources import sinks
+
+    monkeypatch.setattr(sinks, "RECORDS_A_FILE", 400)
+    df = spark.range(0, 1000, 1, 1).selectExpr("concat('O', id) AS order_id", "'UPS' AS carrier")
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    land_batch(df, plain, "b1")
+    for _ in range(2):
+        land_batch(df, packed, "b1", compression="gzip")
+    sizes = {at: [f.stat().st_size for f in (tmp_path / at / "batch_id=b1").glob("part-*")] for at in ("plain", "packed")}
+    assert len(sizes["packed"]) == 6 and sum(sizes["packed"]) < sum(sizes["plain"])
+    assert carriers(spark, packed) == carriers(spark, plain) == ["UPS"] * 1000
+    land_batch(df.limit(1), packed, "b2")
+    taken = ingest(spark, packed, schemas.SHIPMENTS, str(tmp_path / "table"), False, True)
+    assert taken.count() == 1001
+    with pytest.raises(ValueError, match="compression"):
+        land_batch(df, packed, "b3", compression="zip")
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    from pathlib import Path
+
+    local = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    before = set(local.rglob("shuffle_*.data"))
+    write_table(spark.range(0, 100_000, 1, 4).selectExpr("id % 50000 AS k").groupBy("k").count(), str(tmp_path / "t"))
+    assert set(local.rglob("shuffle_*.data")) <= before
