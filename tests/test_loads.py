@@ -7,6 +7,7 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens import schemas
 from orderlens.plans.pipeline import ingest
@@ -119,6 +120,25 @@ def test_full_folders_are_not_touched(spark, area):
     assert made in live_folders(spark, area.table)
 
 
+def test_no_file_is_made_of_more_records_than_asked(spark, area):
+    """Small in Parquet or not: one task reads all rows of a file."""
+    area.land("b9", *[(f"Q{k}", "UPS") for k in range(1000)])
+    before = area.rows()
+    made = compact(spark, area.table, SHIPPED, area.landing, target_records=600)
+    assert live_folders(spark, area.table) == [made]
+    rows = spark.read.parquet(f"{area.table}/{made}").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in rows) == len(before) == 1005
+    assert len(rows) == 2 and max(r["count"] for r in rows) <= 600
+    assert area.rows() == before
+    # What is full by its records is neither small nor scattered; dead records in it still go.
+    assert compact(spark, area.table, SHIPPED, area.landing, target_records=600) is None
+    area.land("b9", ("Q0", "DHL"))
+    before = area.rows()
+    assert compact(spark, area.table, SHIPPED, area.landing, target_records=600) is not None
+    vacuum(spark, area.table)
+    assert len(before) == 6 and area.stored() == area.rows() == before
+
+
 def test_pointer_is_replaced_in_one_step(spark, tmp_path):
     path = str(tmp_path / "p.json")
     assert files.pointer(spark, path, 7) == 7
