@@ -90,3 +90,26 @@ def test_anchors_are_the_same_wherever_a_string_stands():
 def test_too_short_a_length():
     with pytest.raises(ValueError):
         suffix_dedup.window_for(16)
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_keys_are_told_apart_by_both_parts_in_one_sort(monkeypatch, clash):
+    """The slow sort by both parts runs only where first parts clash."""
+    calls, sort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: calls.append(1) or sort(keys))
+    pick = np.random.default_rng(3)
+    high = pick.integers(0, 50, 400).astype(np.uint64) << np.uint64(40)
+    low = (pick.integers(0, 3, 400) if clash else high >> np.uint64(41)).astype(np.uint32)
+    marks = pick.integers(0, 9, 400) == 0
+    highs, lows, n, marked, place = suffix_dedup._distinct((high, low, marks))
+    keys = list(zip(high.tolist(), low.tolist()))
+    assert list(zip(highs.tolist(), lows.tolist())) == sorted(set(keys))
+    assert [keys.count(k) for k in sorted(set(keys))] == n.tolist()
+    assert [any(m for k, m in zip(keys, marks) if k == one) for one in sorted(set(keys))] == marked.tolist()
+    assert [sorted(set(keys))[p] for p in place] == keys
+    assert bool(calls) == clash
+
+
+def test_no_keys():
+    none = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, bool)
+    assert [len(x) for x in suffix_dedup._distinct(none)] == [0] * 5
