@@ -185,3 +185,13 @@ def test_latencies_beyond_a_bigint(spark):
     row = insights.carrier_performance(schemas.conform_shipments(shipments)).collect()[0]
     hours = (last - first).total_seconds() / 3600
     assert (row.shipments, row.avg_latency_hours) == (40, hours)
+
+
+def test_sketches_and_exact_counts_read_facts_that_were_written_once(spark, tmp_path, monkeypatch):
+    """The point-in-time join behind the facts runs once, not once for each of them."""
+    lines = [("EU", "A", "O1", 5), ("EU", "A", "O1", 5), ("EU", "B", "O1", 1), ("EU", "B", "O2", 1), ("US", "A", "O3", 2)]
+    made = spark.createDataFrame(lines, "region string, sku string, order_id string, order_value bigint")
+    monkeypatch.setattr(entry, "_facts", lambda *args, **chosen: made)
+    found = entry.core_queries()["distinct_orders_sketch"](spark, str(tmp_path))
+    assert found.inputFiles() and all("/sketch_facts/" in f for f in found.inputFiles())
+    assert sorted(tuple(r) for r in found.collect()) == [("EU", 2, True), ("US", 1, True)]
