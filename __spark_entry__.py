@@ -92,6 +92,22 @@ def _facts(spark, sf, **chosen):
     )
 
 
+def _staged_facts(spark, sf, name: str, more=(), **chosen) -> DataFrame:
+    """The facts by way of written steps: the shuffles of one are off the disk before the next makes its own."""
+
+    def written(df: DataFrame, step: str) -> DataFrame:
+        path = _work(spark, sf, f"{name}_steps/{step}")
+        write_table(df, path)
+        return read_table(spark, path, schema=df.schema)
+
+    lines = _lines(spark, sf)
+    if months.MONTH in more:
+        lines = lines.withColumn(months.MONTH, months.month_of())
+    return fact_plan.line_facts(
+        lines, _inventory(spark, sf), _shipments(spark, sf), _options(**chosen), more, written=written
+    )
+
+
 _ASOF_COLUMNS = (
     "order_id", "order_ts", "region", "sku", "qty", "snapshot_ts", "warehouse_id", "on_hand_qty"
 )
@@ -446,7 +462,7 @@ def core_queries() -> dict[str, Query]:
         "asof_inventory": _asof,
         "asof_inventory_left": lambda spark, sf: _asof(spark, sf, how="left"),
         "asof_inventory_region": lambda spark, sf: _asof(spark, sf, keys=("sku", "region")),
-        "order_facts": _on_facts(lambda f: f, **every_shipment),
+        "order_facts": lambda spark, sf: _staged_facts(spark, sf, "order_facts", **every_shipment),
         "order_facts_latest": _on_facts(lambda f: f),
         # reductions
         "dedupe_order_lines": _lines,

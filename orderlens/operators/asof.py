@@ -27,6 +27,7 @@ def asof_join(
     how: str = "inner",
     cell_seconds: int = CELL_SECONDS,
     weighed: DataFrame | None = None,
+    take: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left columns plus the matched right row's columns (all but the keys).
 
@@ -48,15 +49,20 @@ def asof_join(
     `weighed` may name a frame that is cheaper to count than the left rows: one with some of the keys and at least
     as many rows of each. It settles which keys are cut up and has no say in the result.
 
+    `take` names the right columns that are wanted, those of `tie_break` among them. No others are shuffled, and those left
+    out settle no tie, which could show in them alone.
+
     Left rows that can match nothing carry a number by their content, so that null keys are not one big group.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unknown join type: {how}")
     keys = list(keys)
-    payload = [c for c in right.columns if c not in keys]
+    payload = [c for c in right.columns if c not in keys and (take is None or c in take)]
     clash = set(payload) & set(left.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
+    if missing := set(tie_break) - set(payload):
+        raise ValueError(f"ties are settled by columns that are not taken: {sorted(missing)}")
     ties = [*tie_break, *[c for c in payload if c not in (right_ts, *tie_break)]]
 
     lines = left if how == "left" else left.where(present(*keys, left_ts))
@@ -91,9 +97,8 @@ def _apart(left: DataFrame, keys, left_ts) -> Column:
 def _in_order(left, right, keys, left_ts, right_ts, payload, ties, how) -> DataFrame:
     """Both sides sorted per key; at one time right rows come first, the one that wins last of them."""
     right_row = F.struct(*payload)
-    events = left.withColumns(
-        {"_ts": F.col(left_ts), "_apart": _apart(left, keys, left_ts), "_asked": F.lit(True)}
-    ).unionByName(
+    apart = _apart(left, keys, left_ts) if how == "left" else F.lit(0).cast("bigint")
+    events = left.withColumns({"_ts": F.col(left_ts), "_apart": apart, "_asked": F.lit(True)}).unionByName(
         right.select(
             *keys,
             F.col(right_ts).alias("_ts"),

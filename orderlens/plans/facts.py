@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderlens.functions import order_value, stockout_flag
 from orderlens.operators.asof import CELL_SECONDS, asof_join
 from orderlens.operators.quality import dedupe
-from orderlens.operators.shipments import attach_shipments
+from orderlens.operators.shipments import SHIPMENT_COLUMNS, attach_shipments
 
 LINE_KEYS = ("order_id", "sku")
+# What facts are made of: the columns of a line, and of the snapshot that it finds.
+_LINE = ("order_id", "order_ts", "sku", "customer_id", "qty", "unit_price", "region")
+_STOCK = ("warehouse_id", "on_hand_qty")
 
 
 @dataclass(frozen=True)
@@ -44,11 +47,16 @@ def stock_by(inventory: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def match_inventory(
-    lines: DataFrame, inventory: DataFrame, options: Options = Options(), weighed: DataFrame | None = None
+    lines: DataFrame,
+    inventory: DataFrame,
+    options: Options = Options(),
+    weighed: DataFrame | None = None,
+    take: Sequence[str] | None = None,
 ) -> DataFrame:
     """Order lines with the newest snapshot known at the moment of the order.
 
-    `weighed` may name a frame with the SKU of all raw lines: they are counted there, so that copies are removed once.
+    `weighed` may name a frame with the SKU of all raw lines: they are counted there, so that copies are removed once. `take`
+    names the columns of the snapshot that are wanted.
     """
     return asof_join(
         lines,
@@ -60,6 +68,7 @@ def match_inventory(
         how=options.how,
         cell_seconds=options.cell_seconds,
         weighed=weighed,
+        take=take,
     )
 
 
@@ -108,10 +117,25 @@ def line_facts(
     options: Options = Options(),
     more: Sequence[str] = (),
     weighed: DataFrame | None = None,
+    written: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Facts of lines without copies. The latest shipment is a row per line at most, so it is fetched while the lines of an
-    order still lie together; every shipment repeats lines and comes last."""
-    if options.shipments == "latest":
-        shipped = attach_shipments(lines, shipments, options.shipments)
-        return _fact_columns(match_inventory(shipped, inventory, options, weighed), more)
-    return project_facts(match_inventory(lines, inventory, options, weighed), shipments, options.shipments, more)
+    order still lie together; every shipment repeats lines and comes last.
+
+    `written` may write a step under a name and read it back: the lines, and where every shipment follows, the matched lines.
+    The shuffles behind a step can then go before the next one makes its own, and the match, which reads the lines
+    several times, works them out once. Only columns that facts are made of go into a step.
+    """
+    latest = options.shipments == "latest"
+    shipped = attach_shipments(lines, shipments, "latest") if latest else lines
+    needed = dict.fromkeys([*_LINE, *options.keys, *(SHIPMENT_COLUMNS if latest else ()), *more])
+    asking = shipped.select(*needed)
+    if written is not None:
+        # Written lines are counted as they stand.
+        asking, weighed = written(asking, "lines"), None
+    matched = match_inventory(asking, inventory, options, weighed, _STOCK)
+    if latest:
+        return _fact_columns(matched, more)
+    if written is not None and options.shipments == "all":
+        matched = written(matched, "matched")
+    return project_facts(matched, shipments, options.shipments, more)

@@ -56,12 +56,10 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_linenumber").alias("line_no"),
         )
     )
-    customer = table(spark, sf_dir, "customer").join(
-        _region_names(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
-    )
     orders = (
         table(spark, sf_dir, "orders")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(_region_names(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             _labelled("ORD", F.col("o_orderkey")).alias("order_id"),
             "o_orderkey",
@@ -93,13 +91,15 @@ def line_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All line items as stock snapshots, under the raw column names."""
-    supplier = table(spark, sf_dir, "supplier").join(
-        _region_names(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")
-    )
+    """All line items as stock snapshots, under the raw column names.
+
+    Suppliers and nations are joined one after the other, as Spark knows the size of a table but not that of a join, and
+    would shuffle all line items for a few suppliers.
+    """
     return (
         table(spark, sf_dir, "lineitem")
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(_region_names(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("l_shipdate").alias("snapshot_ts"),
             _labelled("W", F.col("l_suppkey")).alias("warehouse_id"),
