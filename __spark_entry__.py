@@ -144,7 +144,8 @@ def _scan_facts(spark, sf):
 
 def _scan_facts_json(spark, sf):
     path = _work(spark, sf, "scan_order_facts_json")
-    writer = _facts(spark, sf).write.mode("overwrite").option("compression", _PACKED)
+    facts = _staged_facts(spark, sf, "scan_order_facts_json")
+    writer = facts.write.mode("overwrite").option("compression", _PACKED)
     with shuffles_removed(spark):
         writer.option("maxRecordsPerFile", RECORDS_A_FILE).json(path)
     return read_table(spark, path, "json", schemas.ORDER_FACTS).drop("ingestion_ts")
