@@ -341,12 +341,11 @@ def _after_batches(spark, sf, name: str) -> incremental.Store:
 
 def _facts_by_month(spark, sf, name: str, **chosen) -> DataFrame:
     """The facts with their order month, written in a folder per month and read back."""
-    path, options = _work(spark, sf, name), _options(**chosen)
-    lines = _lines(spark, sf).withColumn(months.MONTH, months.month_of())
-    facts = fact_plan.line_facts(
-        lines, _inventory(spark, sf), _shipments(spark, sf), options, [months.MONTH], views.line_skus(spark, sf)
-    )
-    months.write_by_month(facts, path, replace_all=True)
+    path, aside = _work(spark, sf, name), _work(spark, sf, f"{name}_steps/facts")
+    facts = _staged_facts(spark, sf, name, [months.MONTH], **chosen)
+    # Dealing them by month is a shuffle of its own, made when those of the match are gone.
+    write_table(facts, aside)
+    months.write_by_month(read_table(spark, aside, schema=facts.schema), path, replace_all=True)
     return months.read_months(spark, path)
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from orderlens import schemas
 from orderlens.operators import attach_shipments, dedupe, latest_shipments
-from orderlens.plans.facts import Options, build_order_facts, stock_by
+from orderlens.plans.facts import Options, build_order_facts, line_facts, match_inventory, order_lines, stock_by
+from orderlens.sources import read_table, write_table
 
 T0 = datetime(2024, 1, 10, 9)
 MEDIUM = "/root/testdata/sf0.01"
@@ -198,3 +199,49 @@ def test_a_delivered_shipment_wins_at_equal_times(spark):
     shipments = schemas.conform_shipments(spark.createDataFrame(rows, schemas.SHIPMENTS))
     got = {r.order_id: r.delivery_status for r in latest_shipments(shipments).collect()}
     assert got == {"O1": "delivered", "O2": "DELIVERED"}
+
+
+@pytest.mark.parametrize("policy", ["latest", "all", "none"])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_facts_by_way_of_written_steps(spark, tmp_path, policy, how):
+    """The same rows; a step holds what facts are made of and no more, and the match reads the written lines."""
+    orders, stock, shipments = frames(spark)
+    options, steps = Options(how=how, shipments=policy), {}
+
+    def written(df, step):
+        steps[step] = df.columns
+        write_table(df, str(tmp_path / step))
+        return read_table(spark, str(tmp_path / step), schema=df.schema)
+
+    plain = line_facts(order_lines(orders, options), stock, shipments, options)
+    staged = line_facts(order_lines(orders, options), stock, shipments, options, written=written)
+    assert sorted(map(repr, staged.collect())) == sorted(map(repr, plain.collect()))
+    assert list(steps) == (["lines", "matched"] if policy == "all" else ["lines"])
+    assert not {"channel", "discount", "order_status", "promised_delivery_ts"} & set(steps["lines"])
+    assert any("/lines/" in f for f in staged.inputFiles()) or policy == "all"
+
+
+@pytest.mark.parametrize("name", ["order_facts", "scan_order_facts_json", "facts_by_month", "revenue_latest_month"])
+def test_whole_facts_are_made_of_written_steps(spark, sf, monkeypatch, name):
+    """Lines, match and months each write what they shuffled for, so that their shuffle files never lie side by side."""
+    steps, write = [], entry.write_table
+    monkeypatch.setattr(entry, "write_table", lambda df, path, *more: (steps.append(path.rsplit("/", 1)[1]), write(df, path, *more)))
+    entry.queries()[name](spark, sf)
+    wanted = {"order_facts": ["lines", "matched"], "scan_order_facts_json": ["lines"]}
+    assert steps == wanted.get(name, ["lines", "facts"])
+
+
+def test_line_items_are_not_shuffled_for_a_few_suppliers(spark, sf):
+    """Suppliers, small as a table, are broadcast although Spark takes a join of theirs for large."""
+    inventory = entry._inventory(spark, sf)
+    inventory.collect()
+    plan = inventory._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Exchange hashpartitioning(l_suppkey" not in plan
+
+
+def test_the_match_shuffles_no_stock_column_that_is_not_taken(spark):
+    _, stock, _ = frames(spark)
+    lines = spark.createDataFrame([("O1", "A", T0)], "order_id string, sku string, order_ts timestamp_ntz")
+    matched = match_inventory(lines, stock, take=("warehouse_id", "on_hand_qty"))
+    assert matched.columns == [*lines.columns, "warehouse_id", "on_hand_qty"]
+    assert "inventory_region" not in matched._jdf.queryExecution().executedPlan().toString()
