@@ -203,3 +203,67 @@ def test_the_work_of_an_applied_batch_goes(spark, store):
     before = rows(incremental.facts_now(spark, store))
     incremental.apply_batch(spark, store, "news", *news)
     assert rows(incremental.facts_now(spark, store)) == before and not folders(spark, store.at("aside"))
+
+
+@pytest.mark.parametrize("moved", [0, 1, 2, 3])
+def test_a_run_that_stopped_amid_the_moves_goes_on(spark, store, monkeypatch, moved):
+    """Months move in folder by folder; whatever of them is in when a run stops, the next one ends with the same rows."""
+    news = batch(spark, [line("O0", 1, "A", 7), line("O1", 30, "A", 99), line("O9", 64)])
+    move, done = incremental.move, []
+
+    def stop(spark, path, target):
+        if len(done) == moved:
+            raise RuntimeError("lost")
+        done.append(move(spark, path, target))
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "move", stop)
+        with pytest.raises(RuntimeError):
+            incremental.apply_batch(spark, store, "news", *news)
+    incremental.apply_batch(spark, store, "news", *news)
+    facts = incremental.facts_now(spark, store)
+    got = {(r.order_id, r.sku): r.quantity for r in facts.collect()}
+    assert got[("O1", "A")] == 99 and ("O9", "A") in got and len(got) == facts.count() == 9
+    assert rows(state.totals(incremental.state_now(spark, store))) == rows(metrics.metric_totals(facts))
+
+
+def test_a_month_is_dealt_once_and_the_match_reads_written_rows(spark, store, monkeypatch):
+    dealt, aside = [], []
+    by_month, write = incremental.write_by_month, incremental.write_table
+
+    def count_dealt(df, path, **more):
+        dealt.append(path.rsplit("/", 1)[1])
+        by_month(df, path, **more)
+
+    def count_aside(df, path, *more):
+        aside.append(path.rsplit("/", 1)[1])
+        write(df, path, *more)
+
+    monkeypatch.setattr(incremental, "write_by_month", count_dealt)
+    monkeypatch.setattr(incremental, "write_table", count_aside)
+    incremental.apply_batch(spark, store, "news", *batch(spark, [line("O8", 40)], [stock_row(41, 2)]))
+    assert dealt == ["facts", "lines"] and {"asking", "answers"} <= set(aside)
+
+
+def test_what_a_compaction_replaced_goes(spark, tmp_path):
+    from orderlens.plans import pipeline
+    from orderlens.sources import land_batch
+    from orderlens.sources.files import folders
+
+    areas = {name: str(tmp_path / "landing" / name) for name in ("orders", "inventory", "shipments")}
+    paths = pipeline.Paths(**areas, silver=str(tmp_path / "silver"), gold=str(tmp_path / "gold"))
+    for k in range(2):
+        orders, stock, shipments = given(spark, k)
+        land_batch(orders, paths.orders, f"b{k}")
+        land_batch(stock.withColumnRenamed("inventory_region", "region"), paths.inventory, f"b{k}")
+        land_batch(shipments.withColumnRenamed("delivery_status", "status"), paths.shipments, f"b{k}")
+        pipeline.run_changes(spark, paths)
+        pipeline.compact_ingested(spark, paths)
+    before = rows(incremental.facts_now(spark, paths.store))
+    gone = pipeline.vacuum_ingested(spark, paths)
+    assert sorted(gone) == sorted(areas) and all(gone.values())
+    for name in areas:
+        table = f"{paths.silver}/conformed/{name}_appended"
+        assert [f for f in folders(spark, table) if not f.startswith("_")] == [pipeline.pointer(spark, f"{table}/_folders.json")["added"][0]]
+    pipeline.run_changes(spark, paths)
+    assert rows(incremental.facts_now(spark, paths.store)) == before
