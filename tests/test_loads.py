@@ -192,3 +192,16 @@ def test_the_state_of_a_stream_is_bounded(spark, tmp_path):
         time.sleep(1.2)
     assert max(held) <= 100
     assert read_converted(spark, str(tmp_path / "t"), schemas.ORDERS).count() == 200
+
+
+def test_the_keys_of_a_stream_lie_on_disk(spark, tmp_path):
+    """A stream that knows its keys holds them on the executors' disks; the session's own settings come back."""
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "a.json").write_text(json.dumps(order("O1")))
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    convert_new_batches(
+        spark, str(tmp_path / "landing"), schemas.ORDERS, str(tmp_path / "t"), str(tmp_path / "s"), once=Once(("order_id", "sku"), "1 day")
+    ).awaitTermination()
+    assert "RocksDBStateStoreProvider" in (tmp_path / "s" / "offsets" / "0").read_text()
+    assert spark.conf.get(name) == before and "RocksDB" not in before
